@@ -38,8 +38,8 @@ def _quality_sql() -> str:
             tests.append(f"{r.metric} > {r.high}")
     return rf"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
-w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-             list_filter(string_split(body, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
+w AS (SELECT doc_id, body, list_filter(regexp_split_to_array(body, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(body, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM t),
 g AS (SELECT doc_id, i, concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) AS gram
       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
 d AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g) WHERE c > 1),
@@ -47,7 +47,7 @@ r AS (SELECT doc_id, count(DISTINCT p) AS rep FROM (SELECT doc_id, unnest([i, i
 f AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
              CAST(length(body) - length(regexp_replace(body, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep, 0) AS BIGINT) AS n_repeat_words,
-             len(list_filter(ws, x -> x IN ({stops}))) AS stops, len(ls) AS n_lines,
+             len(list_filter(ws, lambda x: x IN ({stops}))) AS stops, len(ls) AS n_lines,
              length(body) - length(replace(body, '!', '')) AS shouts
       FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
 m AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
