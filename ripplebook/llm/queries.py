@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import quality
+from ripplebook.llm import quality, url_filter
 from ripplebook.llm.common import table
 
 
@@ -62,10 +62,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
+#: Fixed by the contract of op1.
+URL_RULES = (
+    url_filter.HostRule("org", "/", "allow"),
+    url_filter.HostRule("example.org", "/es/", "block"),
+    url_filter.HostRule("example.org", "/en/1", "block"),
+    url_filter.HostRule("com", "/fr/", "allow"),
+    url_filter.HostRule("com", "/de/", "block"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules and a URL list over every page.
+
+    The tables hold no URL list; the canonical URLs that some page reaches through a ``ref``
+    parameter stand in for one.
+    """
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    listed = pages.filter(F.col("url").rlike(r"[?&]ref=")).select(
+        url_filter.canonical_url(F.col("url")).alias("canonical_url")
+    )
+    return url_filter.judge_urls(pages, listed, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict", "canonical_url", "listed"
+    )
+
+
+_URL_SQL = r"""
+WITH a AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
+b AS (SELECT page_id, url, coalesce(lower(regexp_extract(rest, '^([^/?#]*)', 1)), '') AS host,
+             coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
+             regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS asked FROM a),
+c AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') AS h,
+             regexp_replace(regexp_replace(path, '/index\.html?$', '/'), '/+$', '') AS p,
+             array_to_string(list_sort(list_filter(string_split(asked, '&'), lambda x: x <> '' AND NOT
+               regexp_matches(lower(x), '^(ref|fbclid|gclid|utm_[a-z]+|session|sid)(=|$)'))), '&') AS q FROM b),
+d AS (SELECT page_id, url, host, path, CASE WHEN h <> '' THEN h || p || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS canonical_url FROM c),
+l AS (SELECT DISTINCT canonical_url AS k FROM d WHERE regexp_matches(url, '[?&]ref=') AND canonical_url IS NOT NULL),
+e AS (SELECT d.*, k IS NOT NULL AS listed FROM d LEFT JOIN l ON canonical_url = k),
+f AS (SELECT *, CASE
+  WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+  WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+  WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+  WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+  WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule FROM e)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+       WHEN listed THEN 'block' ELSE 'allow' END AS verdict, canonical_url, listed FROM f
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
     "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_url_filter": _URL_SQL,
     "op9_quality_rules": _quality_sql(),
 }
