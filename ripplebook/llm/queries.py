@@ -11,10 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import quality, url_filter
+from ripplebook.llm import packing, quality, url_filter
 from ripplebook.llm.common import table
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, tokenised whole and packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold rules over every document."""
     judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -112,6 +117,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
 }
 
