@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import packing, quality, url_filter
+from ripplebook.llm import packing, quality, simhash, url_filter
 from ripplebook.llm.common import table
 
 
@@ -20,6 +20,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of every document: 4-word shingles, links at 4 differing bits or fewer."""
+    return simhash.near_duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold rules over every document."""
     judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -118,6 +123,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }
 
