@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import packing, quality, simhash, url_filter
-from ripplebook.llm.common import table
+from ripplebook.llm import langid, packing, quality, simhash, toxicity, url_filter
+from ripplebook.llm.common import crc_mod, table
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,31 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+#: Bound of the labelled sample that op4 learns from: rows of each label.
+TOXIC_PER_CLASS = 3000
+#: Bound of the labelled sample that op7 learns from: about so many rows of each language, twice that at most.
+LANG_PER_LANGUAGE = 600
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document; learns from rows of crc32(doc_id) mod 5 other than 0."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(crc_mod(F.col("doc_id"), 5) != 0)
+    texts, marks = toxicity.training_sample(docs, labels, TOXIC_PER_CLASS, doc_id="doc_id", text="text", label="toxic")
+    scored = toxicity.score(docs, toxicity.learn(texts, marks))
+    held = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document; learns from rows of crc32(doc_id) mod 4 other than 2."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    texts, langs = langid.training_sample(docs.filter(crc_mod(F.col("doc_id"), 4) != 2), LANG_PER_LANGUAGE)
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(texts, langs))
+    held = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of every document: 4-word shingles, links at 4 differing bits or fewer."""
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -123,7 +148,9 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
