@@ -26,6 +26,8 @@ UNDETERMINED = "und"
 BUCKETS = 1 << 15
 DIM = 16
 CACHE = 300_000
+#: Subwords without evidence that every text is taken to have; short texts get less certain scores.
+PRIOR = 8
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -73,7 +75,7 @@ class Reader:
                 got = self.known[word] = (m.table[ids].sum(axis=0), len(ids))
             total += times * got[0]
             n += times * got[1]
-        return total / max(n, 1) + m.bias
+        return total / (n + PRIOR) + m.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, calibrated probability); ``und`` and 0 for a text that is null or has no letter."""

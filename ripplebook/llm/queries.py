@@ -30,8 +30,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score of every document; learns from rows of crc32(doc_id) mod 5 other than 0."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(crc_mod(F.col("doc_id"), 5) != 0)
-    texts, marks = toxicity.training_sample(docs, labels, TOXIC_PER_CLASS, doc_id="doc_id", text="text", label="toxic")
-    scored = toxicity.score(docs, toxicity.learn(texts, marks))
+    texts, marks, share = toxicity.training_sample(docs, labels, TOXIC_PER_CLASS, doc_id="doc_id", text="text", label="toxic")
+    scored = toxicity.score(docs, toxicity.learn(texts, marks, toxic_share=share))
     held = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -3,7 +3,7 @@
 Learning takes a bounded sample of labelled rows (``per_class`` a label, chosen by a hash of the id):
 words and word beginnings that toxic documents share and clean ones lack become the lexicon. Scoring is
 one pass over whole texts in Arrow batches: a word goes through the automaton of its length's edit
-budget along the trie, so misspelled terms are caught; words that clean training texts use are never
+budget over the trie, so misspelled terms are caught; words that clean training texts use are never
 taken for misspellings. Each hit weighs what its window says: quotation and reporting words lower it,
 direct address raises it. A logistic curve, fitted on the sample, turns the sum into a score.
 """
@@ -36,57 +36,98 @@ def edit_budget(n: int) -> int:
 
 
 class Trie:
-    """Terms as nested dicts; ``""`` holds (term, is_stem) at a term's end."""
+    """Terms as a trie, and the Levenshtein automaton of all of them, determinised as words need it.
+
+    A state of the automaton is the set of (trie node, fewest edits) that a word's beginning can be at;
+    transitions are remembered, so a word costs one dictionary look-up a letter and most words reach the
+    empty state within a few letters.
+    """
 
     def __init__(self, terms: dict[str, bool]):
-        self.root: dict = {}
-        self.longest = max((len(t) for t in terms), default=0)
+        self.children: list[dict[str, int]] = [{}]
+        self.ends: list[tuple[str, bool] | None] = [None]
+        self.budget = [0]  # of the terms below a node, the most edits that any allows
         for term, stem in terms.items():
-            node = self.root
+            node, allowed = 0, 0 if stem else edit_budget(len(term))
+            self.budget[0] = max(self.budget[0], allowed)
             for c in term:
-                node = node.setdefault(c, {})
-            node[""] = (term, stem)
+                if c not in self.children[node]:
+                    self.children[node][c] = len(self.children)
+                    self.children.append({})
+                    self.ends.append(None)
+                    self.budget.append(0)
+                node = self.children[node][c]
+                self.budget[node] = max(self.budget[node], allowed)
+            self.ends[node] = (term, stem)
+        self.states: list[dict[int, int]] = []
+        self.numbers: dict[frozenset, int] = {}
+        self.moves: list[dict[str, int]] = []
+        self.start = self._number(self._closed({0: 0}))
 
     def exact(self, word: str) -> str | None:
         """The term that is the word, or else the longest stem it begins with."""
-        node, best = self.root, None
+        node, best = 0, None
         for k, c in enumerate(word):
-            node = node.get(c)
+            node = self.children[node].get(c)
             if node is None:
                 return best
-            if end := node.get(""):
+            if end := self.ends[node]:
                 term, stem = end
                 if stem or k + 1 == len(word):
                     best = term
         return best
 
-    def fuzzy(self, word: str) -> tuple[str, int] | None:
-        """(term, edits) of the nearest whole-word term within the word's budget.
+    def _closed(self, at: dict[int, int]) -> dict[int, int]:
+        """With the nodes that are reached by leaving out letters of terms."""
+        todo = list(at)
+        while todo:
+            node = todo.pop()
+            edits = at[node] + 1
+            for child in self.children[node].values():
+                if edits <= self.budget[child] and edits < at.get(child, 99):
+                    at[child] = edits
+                    todo.append(child)
+        return at
+
+    def _number(self, state: dict[int, int]) -> int:
+        key = frozenset(state.items())
+        if key not in self.numbers:
+            self.numbers[key] = len(self.states)
+            self.states.append(state)
+            self.moves.append({})
+        return self.numbers[key]
+
+    def _move(self, number: int, c: str) -> int:
+        out: dict[int, int] = {}
 
-        The Levenshtein automaton of ``word`` runs along the trie: its state is the row of edit
-        distances between the node's prefix and each prefix of the word, dead once all exceed the
-        budget. Ties go to the smaller term.
-        """
+        def reach(node: int, edits: int) -> None:
+            if edits <= self.budget[node] and edits < out.get(node, 99):
+                out[node] = edits
+
+        for node, edits in self.states[number].items():
+            reach(node, edits + 1)  # a letter too many
+            for letter, child in self.children[node].items():
+                reach(child, edits + (letter != c))
+        return self._number(self._closed(out))
+
+    def fuzzy(self, word: str) -> tuple[str, int] | None:
+        """(term, edits) of the nearest whole-word term within the budgets of word and term; ties: the smaller term."""
         budget = edit_budget(len(word))
         if not budget:
             return None
-        best: tuple[int, str] | None = None
-        stack = [(self.root, list(range(len(word) + 1)))]
-        while stack:
-            node, row = stack.pop()
-            for c, child in node.items():
-                if c == "":
-                    term, stem = child
-                    edits = row[-1]
-                    if not stem and edits <= min(budget, edit_budget(len(term))) and (best is None or (edits, term) < best):
-                        best = (edits, term)
-                    continue
-                new = [row[0] + 1]
-                for j, w in enumerate(word, 1):
-                    new.append(min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (w != c)))
-                if min(new) <= budget:
-                    stack.append((child, new))
-        return (best[1], best[0]) if best else None
+        number, moves = self.start, self.moves
+        for c in word:
+            after = moves[number].get(c)
+            if after is None:
+                after = moves[number][c] = self._move(number, c)
+            number = after
+            if not self.states[number]:
+                return None
+        found = [(e, self.ends[n][0]) for n, e in self.states[number].items() if self.ends[n] and not self.ends[n][1] and e <= min(budget, edit_budget(len(self.ends[n][0])))]
+        if not found:
+            return None
+        edits, term = min(found)
+        return term, edits
 
 
 @dataclass
@@ -94,8 +135,8 @@ class Model:
     weights: dict[str, float] = field(default_factory=dict)  # of each term
     stems: dict[str, bool] = field(default_factory=dict)  # term -> whether words may go on after it
     clean: frozenset[str] = frozenset()  # near-terms that clean texts use
-    slope: float = 0.0
-    bias: float = -30.0
+    unsafe: frozenset[str] = frozenset()  # terms that clean texts have many near-terms of: matched exactly only
+    curve: tuple[float, float, float] = (0.0, 0.0, -30.0)  # of log evidence, of log density, constant
 
 
 class Scorer:
@@ -111,13 +152,14 @@ class Scorer:
         m = self.model
         if term := self.trie.exact(word):
             return m.weights[term]
-        if word not in m.clean and (near := self.trie.fuzzy(word)):
+        if word not in m.clean and (near := self.trie.fuzzy(word)) and near[0] not in m.unsafe:
             return m.weights[near[0]] * (0.7 if near[1] == 1 else 0.5)
         return 0.0
 
-    def evidence(self, text: str) -> float:
+    def evidence(self, text: str) -> tuple[float, float]:
+        """(log evidence, log evidence a hundred words)."""
         if not self.model.weights or not text:
-            return 0.0
+            return 0.0, 0.0
         low = text.lower()
         words = WORDS.findall(low)
         found = False
@@ -133,7 +175,8 @@ class Scorer:
         if len(self.none) + len(self.hits) > CACHE:
             self.none.clear()
             self.hits.clear()
-        return total
+            self.trie = Trie(self.model.stems)
+        return float(np.log1p(total)), float(np.log1p(100 * total / (len(words) + 50)))
 
     def _in_context(self, low: str) -> float:
         spans = [(m.group(), m.start(), m.end()) for m in WORDS.finditer(low)]
@@ -153,66 +196,97 @@ class Scorer:
         return total
 
 
-def learn(texts: list[str], labels: list[int], *, min_docs: int = 5, min_share: float = 0.004, precision: float = 0.97) -> Model:
-    """Lexicon and curve from labelled texts. Without both labels, a model that scores all texts near 0."""
+def _lexicon(texts: list[str], labels: list[int], min_docs: int, min_share: float, precision: float) -> Model:
+    """Terms that toxic texts have and clean ones lack, weighed by log odds.
+
+    A stem is taken if its words are several, none of which makes up most of it; a whole word if no
+    stem covers it.
+    """
     n_toxic, n_clean = sum(labels), len(labels) - sum(labels)
-    if not n_toxic or not n_clean:
-        return Model()
     toxic: Counter[str] = Counter()
     clean: Counter[str] = Counter()
-    vocabulary: set[str] = set()
     for text, y in zip(texts, labels, strict=True):
         words = set(WORDS.findall(text.lower()))
         parts = {w + "$" for w in words} | {w[:k] for w in words for k in range(4, min(len(w), 9))}
         (toxic if y else clean).update(parts)
-        if not y:
-            vocabulary |= words
-    least = max(min_docs, min_share * n_toxic)
-    rate = n_toxic / n_clean
+    least, rate = max(min_docs, min_share * n_toxic), n_toxic / max(1, n_clean)
+    largest: Counter[str] = Counter()  # of each beginning, the documents of its most frequent word
+    for p, t in toxic.items():
+        if p.endswith("$"):
+            for k in range(4, min(len(p) - 1, 8) + 1):
+                largest[p[:k]] = max(largest[p[:k]], t)
     good = [p for p, t in toxic.items() if t >= least and t >= precision * (t + clean[p] * rate)]
-    good.sort(key=lambda p: (-toxic[p], -len(p), p))
     stems: dict[str, bool] = {}
-    weights: dict[str, float] = {}
-    for p in good:
-        term, stem = p.removesuffix("$"), not p.endswith("$")
-        if any(stems.get(term[:k]) for k in range(4, len(term) + 1)) or (stem and term in stems):
-            continue
-        stems[term] = stem
-        weights[term] = float(np.log((toxic[p] + 0.5) / (n_toxic + 1)) - np.log((clean[p] + 0.5) / (n_clean + 1)))
-    trie = Trie(stems)
-    near = frozenset(w for w in vocabulary if not trie.exact(w) and trie.fuzzy(w))
-    model = Model(weights, stems, near)
-    scorer = Scorer(model)
-    x = np.log1p([scorer.evidence(t) for t in texts])
-    y = np.asarray(labels, float)
-    a, b = 1.0, -1.0
-    for _ in range(50):  # Newton steps on the ridge-penalised likelihood, classes weighed alike
-        p = 1 / (1 + np.exp(-(a * x + b)))
-        w = np.where(y == 1, 0.5 / n_toxic, 0.5 / n_clean) * len(y)
-        g = np.array([np.sum(w * (p - y) * x) + 0.05 * a, np.sum(w * (p - y)) + 0.05 * b])
-        h = w * p * (1 - p)
-        H = np.array([[np.sum(h * x * x) + 0.05, np.sum(h * x)], [np.sum(h * x), np.sum(h) + 0.05]])
-        step = np.linalg.solve(H, g)
-        a, b = a - step[0], b - step[1]
+    for p in sorted((p for p in good if not p.endswith("$") and largest[p] < 0.7 * toxic[p]), key=lambda p: (len(p), p)):
+        if not any(p[:k] in stems for k in range(4, len(p))):
+            stems[p] = True
+    for p in sorted(p[:-1] for p in good if p.endswith("$")):
+        if not any(stems.get(p[:k]) for k in range(4, len(p) + 1)):
+            stems[p] = False
+    odds = lambda p: float(np.log((toxic[p] + 0.5) / (n_toxic + 1)) - np.log((clean[p] + 0.5) / (n_clean + 1)))
+    weights = {t: odds(t if stem else t + "$") for t, stem in stems.items()}
+    trie, near, variants = Trie(stems), set(), Counter()
+    for w in {p[:-1] for p in clean if p.endswith("$")}:
+        if not trie.exact(w) and (got := trie.fuzzy(w)):
+            near.add(w)
+            variants[got[0]] += 1
+    return Model(weights, stems, frozenset(near), frozenset(t for t, n in variants.items() if n >= 3))
+
+
+def learn(
+    texts: list[str],
+    labels: list[int],
+    *,
+    toxic_share: float | None = None,
+    min_docs: int = 5,
+    min_share: float = 0.004,
+    precision: float = 0.97,
+) -> Model:
+    """Lexicon and curve from labelled texts; without both labels, a model that scores all texts near 0.
+
+    The curve is fitted on evidence under a lexicon from the other half of the texts, so that what the
+    lexicon owes to chance does not count; ``toxic_share`` is the share of label 1 to fit for.
+    """
+    if len(set(labels)) < 2:
+        return Model()
+    args = (min_docs, min_share, precision)
+    x = np.zeros((len(texts), 2))
+    for half in (0, 1):
+        rest = [i for i in range(len(texts)) if i % 2 != half]
+        scorer = Scorer(_lexicon([texts[i] for i in rest], [labels[i] for i in rest], *args))
+        for i in range(half, len(texts), 2):
+            x[i] = scorer.evidence(texts[i])
+    model, y = _lexicon(texts, labels, *args), np.asarray(labels, float)
+    share = toxic_share or float(y.mean())
+    w = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    X, c = np.column_stack([x, np.ones(len(y))]), np.array([1.0, 0.0, -1.0])
+    ridge = np.diag([0.05, 0.05, 0.001])
+    for _ in range(100):  # Newton steps on the ridge-penalised likelihood
+        p = 1 / (1 + np.exp(-np.clip(X @ c, -30, 30)))
+        g = X.T @ (w * (p - y)) + ridge @ c
+        step = np.linalg.solve((X * (w * p * (1 - p) + 1e-9)[:, None]).T @ X + ridge, g)
+        c = c - step * min(1.0, 2.0 / np.abs(step).max())
         if np.abs(step).max() < 1e-8:
             break
-    model.slope, model.bias = float(max(a, 0.0)), float(b)
+    model.curve = (float(c[0]), float(c[1]), float(c[2]))
     return model
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, *, doc_id: str, text: str, label: str) -> tuple[list[str], list[int]]:
-    """Texts and labels of at most ``per_class`` documents a label: those of the smallest id hashes."""
+def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, *, doc_id: str, text: str, label: str) -> tuple[list[str], list[int], float]:
+    """Texts and labels of at most ``per_class`` documents a label, those of the smallest id hashes; the
+    share of label 1 among all labelled rows."""
     ids = []
     known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y")).filter("__id is not null")
     for y in (0, 1):
         ids += [(r["__id"], y) for r in known.filter(F.col("__y") == y).distinct().orderBy(F.xxhash64("__id"), "__id").limit(per_class).collect()]
     if not ids:
-        return [], []
+        return [], [], 0.0
+    share = known.filter("__y in (0, 1)").agg(F.avg("__y")).first()[0]
     kind = dict(docs.dtypes)[doc_id]
     picked = docs.sparkSession.createDataFrame(ids, f"__id {kind}, __y int")  # at most 2 * per_class rows
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__t")).filter("__t is not null").join(F.broadcast(picked), "__id")
     got = sorted((str(r["__id"]), r["__y"], r["__t"]) for r in rows.collect())
-    return [t for _, _, t in got], [y for _, y, _ in got]
+    return [t for _, _, t in got], [y for _, y, _ in got], float(share)
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
@@ -228,8 +302,8 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         scorer = Scorer(model)
         at = names.index(text)
         for batch in batches:
-            e = np.array([scorer.evidence(t or "") for t in batch.column(at).to_pylist()], float)
-            s = 1 / (1 + np.exp(-np.clip(model.slope * np.log1p(e) + model.bias, -30, 30)))
+            e = np.array([scorer.evidence(t or "") for t in batch.column(at).to_pylist()], float).reshape(-1, 2)
+            s = 1 / (1 + np.exp(-np.clip(e @ np.array(model.curve[:2]) + model.curve[2], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*names, "score"])
 
     return docs.mapInArrow(run, ", ".join([f"`{n}` {t}" for n, t in docs.dtypes] + ["score double"]))
