@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import langid, packing, quality, simhash, toxicity, url_filter
+from ripplebook.llm import decontam, langid, packing, quality, simhash, toxicity, url_filter
 from ripplebook.llm.common import crc_mod, table
 
 
@@ -50,6 +50,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps of every document with every benchmark item."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.overlaps(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Threshold rules over every document."""
     judged = quality.judge(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -151,6 +157,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op7_language_id": op7_language_id,
+    "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
 }
 
