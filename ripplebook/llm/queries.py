@@ -11,10 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import decontam, langid, packing, quality, simhash, toxicity, url_filter
+from ripplebook.llm import decontam, langid, packing, quality, sharding, simhash, toxicity, url_filter
 from ripplebook.llm.common import crc_mod, table
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document into one of 16 shards by balanced label propagation; equal texts are links."""
+    sharded = sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"), shards=16)
+    return sharded.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document, tokenised whole and packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -153,6 +161,7 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_sharding": op2_sharding,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
