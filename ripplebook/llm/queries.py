@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import decontam, langid, packing, quality, sharding, simhash, toxicity, url_filter
+from ripplebook.llm import decontam, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from ripplebook.llm.common import crc_mod, table
 
 
@@ -58,6 +58,12 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of every document that a document of smaller id has too."""
+    spans = substring.repeated_spans(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return spans.select("doc_id", "start", "end", "n_words", "first_doc_id")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlaps of every document with every benchmark item."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -165,6 +171,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
