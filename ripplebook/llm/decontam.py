@@ -5,9 +5,9 @@ hash of what it reads survives substitutions at the ignored places. Seeds of all
 all training documents are joined by hash; each hit names a (document, item, diagonal) and the overlap
 around it is extended both ways with a mismatch penalty and kept if long and alike enough.
 
-Documents pass through a bitmap of the benchmark's seed hashes first (fixed size, 2**23 bits, whatever
-the benchmark's size), so only documents with a possible hit leave the scan, as token hashes. The join
-then removes the bitmap's false positives. All joins are on saved tables, so AQE splits hot seeds.
+Documents pass through a Bloom filter of the benchmark's seed hashes first (fixed size, whatever the
+benchmark's size), so only documents with a possible hit leave the scan, as token hashes. The join then
+removes the filter's false positives. All joins are on saved tables, so AQE splits hot seeds.
 """
 
 from __future__ import annotations
@@ -31,7 +31,8 @@ MASKS = (
     (0, 1, 3, 6, 7, 9, 10),
 )
 TOKENS = re.compile(r"[^\W_]+")
-BITS = 1 << 23
+#: The filter's size, 4 MB whatever the benchmark's size, and the bits that a seed sets.
+BITS, PROBES = 1 << 25, 4
 #: An overlap must have this many equal tokens (fewer only for items that are shorter) and this share of equal ones.
 MIN_MATCHES, MIN_SHARE = 10, 0.75
 MISMATCH, DROP = 2, 8
@@ -62,8 +63,19 @@ def seed_hashes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(where), np.concatenate(what)
 
 
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return (hashes.view(np.uint64) >> np.uint64(20)) % np.uint64(BITS)
+def _bit(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k-th of a seed's PROBES places in the filter (double hashing)."""
+    h = hashes.view(np.uint64)
+    return (h % np.uint64(BITS) + np.uint64(k) * (h >> np.uint64(40))) % np.uint64(BITS)
+
+
+def _may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Numbers of the hashes whose places are all set; later places are read for what passed the earlier."""
+    left = np.arange(len(hashes))
+    for k in range(PROBES):
+        at = _bit(hashes[left], k)
+        left = left[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+    return left
 
 
 def extend(doc: np.ndarray, item: np.ndarray, diagonal: int, at: int) -> tuple[int, int, int]:
@@ -118,11 +130,13 @@ def _explode_seeds(tokens: DataFrame, item_kind: str) -> DataFrame:
     return tokens.mapInArrow(run, f"item_id {item_kind}, item_pos int, seed bigint")
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """BITS bits, set where a benchmark seed falls. Built from per-byte ors: at most BITS / 8 small rows come back."""
-    low = F.pmod(F.shiftrightunsigned("seed", 20), F.lit(BITS))
-    parts = seeds.select(F.floor(low / 8).cast("int").alias("b"), F.expr(f"cast(shiftleft(1, cast(pmod(pmod(shiftrightunsigned(seed, 20), {BITS}), 8) as int)) as int)").alias("v"))
-    got = parts.groupBy("b").agg(F.bit_or("v").alias("v")).toArrow()
+def _bloom(seeds: DataFrame) -> np.ndarray:
+    """BITS bits, PROBES of them set for each benchmark seed; at most BITS / 8 small rows come back."""
+    base, step = F.pmod(F.col("seed"), F.lit(BITS)), F.shiftrightunsigned("seed", 40)
+    at = F.explode(F.array(*[F.pmod(base + F.lit(k) * step, F.lit(BITS)) for k in range(PROBES)]))
+    places = seeds.select(at.alias("at")).distinct()
+    byte = places.select(F.shiftright("at", 3).cast("int").alias("b"), F.expr("shiftleft(1, cast(at & 7 as int))").alias("v"))
+    got = byte.groupBy("b").agg(F.bit_or("v").alias("v")).toArrow()
     out = np.zeros(BITS // 8, np.uint8)
     out[got.column("b").to_numpy()] = got.column("v").to_numpy().astype(np.uint8)
     return out
@@ -155,19 +169,19 @@ def overlaps(
     items = items.withColumn("item_key", F.xxhash64("item_id", "item_tokens"))
     items = scratch.save(items, "keyed-items")
     seeds = scratch.save(_explode_seeds(items.select("item_key", "item_tokens"), "bigint").withColumnRenamed("item_id", "item_key"), "seeds")
-    bitmap = spark.sparkContext.broadcast(_bitmap(seeds))  # one megabyte
+    bloom = spark.sparkContext.broadcast(_bloom(seeds))  # BITS / 8 bytes
 
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
 
     def scan(batches: Iterator[pa.RecordBatch]):
-        flags = np.unpackbits(bitmap.value, bitorder="little").astype(bool)
+        bits = bloom.value
         for b in batches:
             keep, toks, pos, what = [], [], [], []
             for i, t in enumerate(b.column(2).to_pylist()):
                 tokens = token_hashes(t)
                 p, h = seed_hashes(tokens)
-                hit = flags[_bit(h)]
-                if hit.any():
+                hit = _may_hold(bits, h)
+                if len(hit):
                     keep.append(i)
                     toks.append(tokens)
                     pos.append(p[hit].astype(np.int32))
