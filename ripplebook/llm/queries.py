@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook.llm import decontam, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
+from ripplebook.llm import chat, decontam, langid, packing, quality, sharding, simhash, substring, toxicity, url_filter
 from ripplebook.llm.common import crc_mod, table
 
 
@@ -165,6 +165,17 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'al
 """
 
 
+#: Bound of the sample that op10 counts its probabilities on: conversations.
+CHAT_CONVERSATIONS = 2000
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation as a raw transcript, its turns and roles recovered and rendered."""
+    conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    model = chat.learn(chat.training_sample(conversations, CHAT_CONVERSATIONS))
+    return chat.parse_transcripts(chat.raw_parts(conversations).drop("role"), model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_sharding": op2_sharding,
@@ -175,6 +186,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {
