@@ -120,3 +120,50 @@ def near_duplicate_classes(
     return rooted.join(least, "root").select(
         "doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+#: The wide fingerprint of the near-duplicate filter: 256 bits, so that the share of differing bits tells the
+#: similarity of 5-word shingle sets to some 0.035. Unlike texts differ in 128 bits, give or take 8.
+WIDE_WORDS = 4
+#: Similarity 0.8 means 0.15 of the bits differ, 39 of 256, give or take 6; six more are let pass so that pairs at 0.8 are found.
+WIDE_RADIUS = 45
+#: Routes read 16 bits each. Rotated tilings of the 256 bits: two rows of similarity 0.8 share one of 48 with probability 0.97.
+WIDE_ROUTES, WIDE_BITS = 48, 16
+
+
+def sampled_masks(bits: int, size: int, routes: int, seed: int = 11) -> list[int]:
+    """Masks of ``size`` bits each; every run of bits / size masks reads each bit once, in another random order."""
+    rng, out = np.random.default_rng(seed), []
+    while len(out) < routes:
+        order = rng.permutation(bits)
+        out += [sum(1 << int(b) for b in order[k : k + size]) for k in range(0, bits, size)]
+    return out[:routes]
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 5,
+    radius: int = WIDE_RADIUS,
+    cap: int = 1 << 17,
+) -> DataFrame:
+    """``docs`` with one document of each near-duplicate class, columns as they are.
+
+    Documents link where their wide fingerprints over ``shingle``-word shingles show a similarity of 0.8 or
+    more. The smallest doc_id of a class stays (null ids last, ties by scan order), so of repeated rows one
+    does. Texts without words are all alike: one stays. An empty table stays empty.
+    """
+    scratch = Scratch(docs.sparkSession, "simhash-keep")
+    numbered = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    keep = [F.col("__row").alias("at"), F.col(doc_id).alias("doc_id")]
+    marked = scratch.save(with_fingerprints(numbered, text, shingle, WIDE_WORDS, keep), "marked")
+    words = [f"fp{k}" for k in range(WIDE_WORDS)]
+    masks = sampled_masks(64 * WIDE_WORDS, WIDE_BITS, WIDE_ROUTES)
+    classes = scratch.save(cluster(marked, words, radius, masked_routes(words, masks), scratch, cap).select("root", "at", "doc_id"), "classes")
+    # two plain minima rather than a minimum of structs, which Spark would sort for
+    least = scratch.save(classes.groupBy("root").agg(F.min("doc_id").alias("least")), "least")
+    stays = classes.join(least, "root").filter(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("root").agg(F.min("at").alias("__row"))
+    stays = scratch.save(stays.select("__row"), "stays")
+    return numbered.join(stays, "__row", "left_semi").drop("__row")
