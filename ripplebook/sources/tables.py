@@ -15,6 +15,8 @@ from ripplebook import schemas
 
 def require(df: DataFrame, columns: tuple[str, ...] | list[str], where: str = "input") -> DataFrame:
     """``df``, failing on the first row that lacks one of ``columns`` (JSON readers turn missing keys to nulls)."""
+    if not columns:
+        return df
     lacks = [F.when(F.col(c).isNull(), F.lit(c)) for c in columns]
     message = F.concat(F.lit(f"{where}: required field is missing: "), F.coalesce(*lacks))
     ok = F.when(F.coalesce(*lacks).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))

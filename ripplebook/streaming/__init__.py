@@ -1,0 +1 @@
+"""The recorder: polled order books as a Structured Streaming source."""
