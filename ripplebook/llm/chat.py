@@ -84,6 +84,7 @@ def learn(transcripts: list[list[tuple[str, str]]]) -> Model:
         # the marker that names a role speaks for it
         emit[0][2 * r, 1 + r] += 20
         emit[0][2 * r + 1, 0] += 20
+        emit[0][2 * r + 1, 1 : 1 + len(ROLES)] = 0.02  # a further line hardly ever looks like a new turn
     for turns in transcripts:
         last, blank = None, False
         for role, text in turns:

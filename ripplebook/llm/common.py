@@ -47,11 +47,13 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
         self._n = 0
+        self.paths: list[str] = []
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self._n += 1
         path = f"{self.root}/{self._n:03d}-{name}"
         df.write.parquet(path)
+        self.paths.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._ripple_path = path
         return out
@@ -61,10 +63,14 @@ class Scratch:
             if path := getattr(df, "_ripple_path", None):
                 self._delete(path)
 
-    def close(self) -> None:
-        self._delete(self.root)
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Deletes all tables but these, which are what the operator's result reads."""
+        kept = {getattr(df, "_ripple_path", None) for df in frames}
+        for path in [p for p in self.paths if p not in kept]:
+            self._delete(path)
 
     def _delete(self, path: str) -> None:
+        self.paths = [p for p in self.paths if p != path]
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

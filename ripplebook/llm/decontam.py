@@ -155,12 +155,12 @@ def overlaps(
     with_row: bool = False,
 ) -> DataFrame:
     """One row per (document, item) that overlap: doc_id, item_id, start, end (token positions in the
-    document, end exclusive), matches, n_item (the item's tokens) and, on demand, the document's row number.
+    document, end exclusive), matches, n_item (the item's tokens) and, on demand, row (the text's hash).
 
     The longest overlap of each pair is given. An overlap counts if it has ``min_matches`` equal tokens (for
     items of fewer than ``min_matches`` + 2 tokens: all but two) and ``min_share`` of its tokens are equal.
     Items with fewer tokens than the shortest seed have no seeds and are found nowhere. Null and empty texts
-    match nothing; repeated document rows are reported each, repeated items once per distinct (id, text).
+    match nothing; rows of one id and one text are reported once, repeated items once per distinct (id, text).
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontam")
@@ -171,7 +171,8 @@ def overlaps(
     seeds = scratch.save(_explode_seeds(items.select("item_key", "item_tokens"), "bigint").withColumnRenamed("item_id", "item_key"), "seeds")
     bloom = spark.sparkContext.broadcast(_bloom(seeds))  # BITS / 8 bytes
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
+    at = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(at.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
 
     def scan(batches: Iterator[pa.RecordBatch]):
         bits = bloom.value
@@ -193,12 +194,13 @@ def overlaps(
             )
 
     hits = scratch.save(rows.mapInArrow(scan, f"row bigint, doc_id {doc_kind}, tokens array<bigint>, pos array<int>, seed array<bigint>"), "hits")
-    each = hits.select("row", F.explode(F.arrays_zip("pos", "seed")).alias("s")).select("row", "s.pos", "s.seed")
-    met = each.join(seeds, "seed").select("row", "item_key", "pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-    diagonals = met.groupBy("row", "item_key", "diagonal").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    hits = scratch.save(hits.dropDuplicates(["row", "doc_id"]).withColumn("doc_key", F.xxhash64("row", "doc_id")), "distinct-hits")
+    each = hits.select("doc_key", F.explode(F.arrays_zip("pos", "seed")).alias("s")).select("doc_key", "s.pos", "s.seed")
+    met = each.join(seeds, "seed").select("doc_key", "item_key", "pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
+    diagonals = met.groupBy("doc_key", "item_key", "diagonal").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
     diagonals = scratch.save(diagonals, "diagonals")
     sized = diagonals.join(items.select("item_key", "item_id", "item_tokens"), "item_key")
-    pairs = scratch.save(sized, "candidates").join(hits.select("row", "doc_id", "tokens"), "row")
+    pairs = scratch.save(sized, "candidates").join(hits.select("doc_key", "row", "doc_id", "tokens"), "doc_key")
     pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "first", "last")
 
     def verify(batches: Iterator[pa.RecordBatch]):
@@ -221,19 +223,19 @@ def overlaps(
             )
 
     found = pairs.mapInArrow(verify, f"row bigint, doc_id {doc_kind}, item_id {item_kind}, start int, end int, matches int, n_item int")
-    best = found.groupBy("row", "item_id").agg(
-        F.max_by(F.struct("doc_id", "start", "end", "matches", "n_item"), F.struct("matches", F.col("start") * -1)).alias("b")
+    best = found.groupBy("row", "doc_id", "item_id").agg(
+        F.max_by(F.struct("start", "end", "matches", "n_item"), F.struct("matches", F.col("start") * -1)).alias("b")
     )
-    return best.select(*(["row"] if with_row else []), "b.doc_id", "item_id", "b.start", "b.end", "b.matches", "b.n_item")
+    return best.select(*(["row"] if with_row else []), "doc_id", "item_id", "b.start", "b.end", "b.matches", "b.n_item")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item, columns as they are.
 
-    Rows are numbered as scanned and saved once, so that the anti-join drops exactly the rows found.
+    Rows are known by their id and their text's hash, so no copy of the texts is made.
     """
     scratch = Scratch(docs.sparkSession, "decontam-clean")
-    numbered = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    found = overlaps(numbered, benchmark, doc_id="__row", **options).select(F.col("doc_id").alias("__row")).distinct()
-    found = scratch.save(found, "found")
-    return numbered.join(found, "__row", "left_anti").drop("__row")
+    found = overlaps(docs, benchmark, doc_id=doc_id, text=text, with_row=True, **options)
+    found = scratch.save(found.select(F.col("row").alias("__row"), F.col("doc_id").alias("__id")).distinct(), "found")
+    same = (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("__row")) & F.col(doc_id).eqNullSafe(F.col("__id"))
+    return docs.join(found, same, "left_anti")

@@ -152,18 +152,24 @@ def keep_one_of_each(
     """``docs`` with one document of each near-duplicate class, columns as they are.
 
     Documents link where their wide fingerprints over ``shingle``-word shingles show a similarity of 0.8 or
-    more. The smallest doc_id of a class stays (null ids last, ties by scan order), so of repeated rows one
-    does. Texts without words are all alike: one stays. An empty table stays empty.
+    more. The smallest doc_id of a class stays (null ids last, ties by the text's hash), so of repeated rows
+    (one id, one text) one does. Texts without words are all alike: one stays. An empty table stays empty.
     """
     scratch = Scratch(docs.sparkSession, "simhash-keep")
-    numbered = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    keep = [F.col("__row").alias("at"), F.col(doc_id).alias("doc_id")]
-    marked = scratch.save(with_fingerprints(numbered, text, shingle, WIDE_WORDS, keep), "marked")
+    # a row is known by its id and its text's hash: texts are not copied, and are moved once, by the last join
+    at = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    marked = scratch.save(with_fingerprints(docs, text, shingle, WIDE_WORDS, [at.alias("at"), F.col(doc_id).alias("doc_id")]), "marked")
     words = [f"fp{k}" for k in range(WIDE_WORDS)]
     masks = sampled_masks(64 * WIDE_WORDS, WIDE_BITS, WIDE_ROUTES)
     classes = scratch.save(cluster(marked, words, radius, masked_routes(words, masks), scratch, cap).select("root", "at", "doc_id"), "classes")
     # two plain minima rather than a minimum of structs, which Spark would sort for
     least = scratch.save(classes.groupBy("root").agg(F.min("doc_id").alias("least")), "least")
-    stays = classes.join(least, "root").filter(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("root").agg(F.min("at").alias("__row"))
-    stays = scratch.save(stays.select("__row"), "stays")
-    return numbered.join(stays, "__row", "left_semi").drop("__row")
+    stays = classes.join(least, "root").filter(F.col("doc_id").eqNullSafe(F.col("least"))).groupBy("root").agg(
+        F.min("at").alias("__at"), F.first("doc_id").alias("__id")
+    )
+    stays = scratch.save(stays.select("__at", "__id"), "stays")
+    scratch.keep_only(stays)
+    keyed = docs.withColumn("__row_at", at)
+    kept = keyed.join(stays.hint("merge"), (F.col("__row_at") == F.col("__at")) & F.col(doc_id).eqNullSafe(F.col("__id")), "left_semi")
+    # repeated rows have one key; they lie together after the join, so this moves nothing
+    return kept.dropDuplicates([doc_id, "__row_at"]).select(*[F.col(f"`{c}`") for c in docs.columns])

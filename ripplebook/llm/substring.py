@@ -146,24 +146,27 @@ def _common(a: str, b: str):
     return F.coalesce(out, F.lit(0))
 
 
+def _text_hash(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def repeated_spans(
     docs: DataFrame,
     *,
     doc_id: str = "doc_id",
     text: str = "text",
     min_words: int = MIN_WORDS,
-    row: str | None = None,
+    scratch: Scratch | None = None,
 ) -> DataFrame:
-    """Passages that an earlier document has too: row, doc_id, start, end (word numbers, end exclusive),
-    n_words and first_doc_id.
+    """Passages that an earlier document has too: row (the text's hash; a document is known by it and its id),
+    doc_id, start, end (word numbers, end exclusive), n_words and first_doc_id.
 
     The document of the smallest doc_id keeps a passage; it is a repeat in all others (null ids come last;
     passages of null ids alone are kept). Rows of one doc_id are one document: they do not repeat each other.
-    Null and empty texts have no chunks. ``row`` names a column that numbers the rows (else one is made).
+    Null and empty texts have no chunks; rows of one id and one text give each span once.
     """
-    scratch = Scratch(docs.sparkSession, "substring")
-    number = F.col(row) if row else F.monotonically_increasing_id()
-    rows = docs.select(number.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    scratch = scratch or Scratch(docs.sparkSession, "substring")
+    rows = docs.select(_text_hash(text).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     chunks = scratch.save(chunk_table(rows), "chunks")
     shared = chunks.groupBy("d0", "d1").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("n"), F.count("doc_id").alias("ids"))
     shared = shared.filter((F.col("hi") > F.col("lo")) | ((F.col("ids") < F.col("n")) & F.col("lo").isNotNull()))
@@ -171,7 +174,8 @@ def repeated_spans(
     all_of = scratch.save(chunks.join(shared, ["d0", "d1"]), "occurrences")
     scratch.drop(chunks, shared)
     later = all_of.filter(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("lo")))
-    w = Window.partitionBy("row").orderBy("start")  # a document's own marked chunks
+    later = later.dropDuplicates(["row", "doc_id", "start"])
+    w = Window.partitionBy("row", "doc_id").orderBy("start")  # a document's own marked chunks
     marked = later.withColumn("new", (F.lag(F.col("start") + F.col("words")).over(w).eqNullSafe(F.col("start")) == F.lit(False)).cast("int"))
     marked = marked.withColumn("run", F.sum("new").over(w))
     at = F.struct("start", "d0", "d1", "lo", "before", "after")
@@ -182,6 +186,7 @@ def repeated_spans(
     # rims: the first document's neighbours of the run's first and last chunk (its first occurrence there)
     first = all_of.filter(F.col("doc_id") == F.col("lo")).groupBy("d0", "d1").agg(F.min("before").alias("before0"), F.min("after").alias("after0"))
     first = scratch.save(first, "first")
+    scratch.drop(all_of)
     key = lambda side: [F.col(f"{side}.d0") == F.col("d0"), F.col(f"{side}.d1") == F.col("d1")]
     left = scratch.save(runs.join(first, key("a"), "left").select(*runs.columns, F.col("a.before").alias("b"), "before0"), "left")
     both = left.join(first.drop("before0"), key("z"), "left").select(*left.columns, F.col("z.after").alias("f"), "after0")
@@ -210,11 +215,13 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     Documents of which no word is left are dropped; documents that had none to begin with stay.
     """
     scratch = Scratch(docs.sparkSession, "substring-cut")
-    numbered = scratch.save(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    spans = repeated_spans(numbered, doc_id=doc_id, text=text, row="__row", **options)
-    spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))  # of one document
-    spans = scratch.save(spans.withColumnRenamed("row", "__row"), "spans")
-    joined = numbered.join(spans, "__row", "left").drop("__row")
+    spans = repeated_spans(docs, doc_id=doc_id, text=text, scratch=scratch, **options)
+    spans = spans.groupBy("row", "doc_id").agg(F.collect_list(F.struct("start", "end")).alias("__spans"))  # of one document
+    spans = scratch.save(spans.select(F.col("row").alias("__row"), F.col("doc_id").alias("__id"), "__spans"), "spans")
+    scratch.keep_only(spans)
+    keyed = docs.withColumn("__row_at", _text_hash(text))
+    same = (F.col("__row_at") == F.col("__row")) & F.col(doc_id).eqNullSafe(F.col("__id"))
+    joined = keyed.join(spans.hint("merge"), same, "left").select(*[F.col(f"`{c}`") for c in docs.columns], "__spans")
     names = [c for c in joined.columns if c != "__spans"]
 
     def run(batches: Iterator[pa.RecordBatch]):
