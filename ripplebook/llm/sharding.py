@@ -2,7 +2,7 @@
 
 Documents that share a hub (here: an equal text) are linked. Each starts in a shard by the hash of its
 key; in each round every hub elects, from the histogram of its documents' shards, the most frequent
-shard that still has room, and its documents elsewhere ask to move there. Demand is counted per shard
+shards with room, as few as can take them all, and its documents elsewhere ask to move there. Demand is counted per shard
 and priority bucket (a bounded table: shards * PRIORITIES rows), and only as many buckets are let in as
 the shard's quota has room for; so rounds are aggregations and equi-joins on saved tables, a hub of any
 size is pre-aggregated map-side, and its documents' join is one that AQE splits. Documents without links
@@ -44,24 +44,25 @@ def propagate(nodes: DataFrame, shards: int, quotas: list[int], rounds: int, scr
         room = [max(0, q - s) for q, s in zip(quotas, sizes, strict=True)]
         votes = state.groupBy("hub", "shard").agg(F.count("*").alias("n"))
         votes = votes.withColumn("open", _pick(room, F.col("shard")) > 0)
-        # a hub's documents gather where most of them are and room is; those in its fullest shard stay
-        rank = F.struct("n", F.xxhash64("hub", "shard"), "shard")
-        elected = votes.groupBy("hub").agg(
-            F.max(F.when(F.col("open"), rank)).alias("to"), F.max(rank).alias("top"), F.count("*").alias("spread")
-        )
-        elected = elected.filter("spread > 1 and to is not null").select(
-            "hub", F.col("to.shard").alias("to"), F.col("to.n").alias("to_n"), F.col("top.n").alias("top_n")
-        )
+        # a hub's documents gather where most of them are and room is: in as few open shards as can take them all
+        each = F.struct("n", F.xxhash64("hub", "shard").alias("h"), "shard", (F.col("n") + _pick(room, F.col("shard"))).alias("takes"))
+        ranked = F.sort_array(F.collect_list(F.when(F.col("open"), each)), asc=False)  # a row a shard at most
+        elected = votes.groupBy("hub").agg(ranked.alias("r"), F.sum("n").alias("total"), F.count("*").alias("spread"))
+        short = lambda x, i: F.aggregate(F.slice("r", F.lit(1), i), F.lit(0).cast("bigint"), lambda a, y: a + y["takes"]) < F.col("total")
+        elected = elected.filter("spread > 1 and size(r) > 0").select("hub", F.filter("r", short).alias("r"))
+        elected = elected.select("hub", F.transform("r", lambda x: x["shard"]).alias("targets"), F.array_min(F.transform("r", lambda x: x["n"])).alias("to_n"))
         elected = scratch.save(elected, "elected")
         if elected.isEmpty():
             break
-        joined = scratch.save(
-            state.join(elected, "hub", "left").withColumn("pri", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(PRIORITIES))), "asked"
-        )
-        # a shard that is full and as large a part of the hub as the elected one is kept
+        joined = state.join(elected, "hub", "left").withColumn("pri", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(PRIORITIES)))
+        turn = F.pmod(F.xxhash64("row", F.lit(-1 - number)), F.size("targets")).cast("int")
+        stays = F.array_contains("targets", F.col("shard"))
+        joined = joined.withColumn("to", F.when(~stays, F.get("targets", turn)))
+        joined = scratch.save(joined.select("row", "hub", "shard", "to", "to_n", "pri"), "asked")
+        # in a shard that is full a hub's documents stay if they are no fewer than in the elected ones
         here = scratch.save(votes.select("hub", "shard", F.col("n").alias("here_n"), "open"), "votes")
         asked = joined.join(here, ["hub", "shard"]).withColumn(
-            "asks", F.col("to").isNotNull() & (F.col("to") != F.col("shard")) & (F.col("open") | (F.col("here_n") < F.col("to_n")))
+            "asks", F.col("to").isNotNull() & (F.col("open") | (F.col("here_n") < F.col("to_n")))
         )
         asked = scratch.save(asked.select("row", "hub", "shard", "to", "pri", F.coalesce("asks", F.lit(False)).alias("asks")), "asking")
         demand = {}
