@@ -105,7 +105,9 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         "shout_ratio": div(q("n_shouts"), q("n_words")),
     }
     out = F.struct(*[q(k).alias(k) for k in fig], *[v.alias(k) for k, v in ratios.items()])
-    return step.select(*[F.col(f"`{c}`") for c in docs.columns], out.alias("quality"))
+    # Made by a generator of one element: filters on the figures stop there. Pushed below the projections
+    # they would take in each array's making once for every use, and planning would not end.
+    return step.select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.array(out)).alias("quality"))
 
 
 def compile_rules(rules: tuple[Rule, ...] = RULES, figures: str = "quality") -> tuple[Column, Column]:
@@ -137,11 +139,5 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows that pass all rules, with the columns of ``docs``.
-
-    A row is let through by exploding one element or none: a filter would be pushed below the projections
-    of :func:`with_metrics` and there take in each array's making once for every use.
-    """
-    judged = judge(docs, rules, text)
-    once = F.explode(F.when(F.col("kept"), F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>")))
-    return judged.withColumn("__once", once).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that pass all rules, with the columns of ``docs``."""
+    return judge(docs, rules, text).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
