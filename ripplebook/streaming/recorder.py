@@ -8,6 +8,7 @@ out; a batch that is asked for again comes from the spool, and sequence numbers
 from __future__ import annotations
 
 import importlib
+import importlib.util
 import json
 import os
 import time
@@ -84,8 +85,14 @@ def http_get(url: str) -> bytes:
 
 
 def _load(name: str) -> Get:
-    module, _, attribute = name.partition(":")
-    return getattr(importlib.import_module(module), attribute)
+    """``module:function`` or ``/path/to/file.py:function``."""
+    module, _, attribute = name.rpartition(":")
+    if not module.endswith(".py"):
+        return getattr(importlib.import_module(module), attribute)
+    spec = importlib.util.spec_from_file_location("recorder_fetcher", module)
+    loaded = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(loaded)
+    return getattr(loaded, attribute)
 
 
 class PollReader(SimpleDataSourceStreamReader):
