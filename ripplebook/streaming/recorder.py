@@ -125,10 +125,12 @@ class PollReader(SimpleDataSourceStreamReader):
             yield from self._rows(number)
 
     def _rows(self, number: int) -> Iterator[tuple]:
+        """The rows of a spooled cycle; an iterator over a list, as Spark copies it."""
         batch = self._spooled(number)
-        for r in batch["rows"]:
-            sides = [[(x["price"], x["size"]) for x in r[s]] for s in ("bids", "asks")]
-            yield (r["symbol"], r["condition_id"], r["asset_id"], r["outcome"], r["local_recv_ts_ns"], r["ingest_seq"], *sides, number, batch["state"]["last_cycle_start_ts_ns"])
+        levels = lambda side: [(x["price"], x["size"]) for x in side]
+        names = ("symbol", "condition_id", "asset_id", "outcome", "local_recv_ts_ns", "ingest_seq")
+        start = batch["state"]["last_cycle_start_ts_ns"]
+        return iter([(*[r[n] for n in names], levels(r["bids"]), levels(r["asks"]), number, start) for r in batch["rows"]])
 
     def commit(self, end: dict) -> None:
         """Spooled cycles before the last are no longer needed (the last carries the state)."""
