@@ -72,7 +72,7 @@ def _etl(a: argparse.Namespace) -> dict:
 
 def _recorder(a: argparse.Namespace) -> dict:
     if a.command == "init-config":
-        d = Discovery(limit=a.discovery_limit, question_or_slug_contains_any=tuple(a.filter), **({"pm5m_symbols": tuple(a.symbol)} if a.symbol else {}))
+        d = Discovery(limit=a.discovery_limit, question_or_slug_contains_any=tuple(a.filter), **({"window_symbols": tuple(a.symbol)} if a.symbol else {}))
         config = RecorderConfig(a.raw_root, a.state_root, a.poll_interval_ms, a.discovery_interval_cycles, a.max_assets_per_cycle, discovery=d)
         recorder.write_config(config, a.path)
         return {"config": a.path}

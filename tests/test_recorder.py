@@ -35,7 +35,7 @@ def config(tmp_path, **changes):
 
 
 def test_listing_and_top_n(tmp_path):
-    c = config(tmp_path, top_n=2, discovery=d.Discovery(pm5m_symbols=()))
+    c = config(tmp_path, top_n=2, discovery=d.Discovery(window_symbols=()))
     get = getter({"/markets?": listing(), "/book?": BOOK})
     rows, errors, state, polled = r.cycle(c, get, r.empty_state())
     assert get.seen[0] == "http://g/markets?active=true&closed=false&limit=24&order=volume24hr&ascending=false&accepting_orders=true"
@@ -59,7 +59,7 @@ def test_series(tmp_path):
 
 
 def test_failed_assets_leave_until_discovery(tmp_path):
-    c = config(tmp_path, discovery=d.Discovery(pm5m_symbols=()))
+    c = config(tmp_path, discovery=d.Discovery(window_symbols=()))
     get = getter({"/markets?": listing(), "token_id=t1": BOOK})
     rows, errors, state, _ = r.cycle(c, get, r.empty_state())
     assert (len(rows), len(errors)) == (1, 1)
