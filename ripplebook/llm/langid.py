@@ -12,7 +12,6 @@ a word costs one short sum, remembered per task; whole texts are scored in one p
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,12 +30,32 @@ PRIOR = 8
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a word's 2- to 4-grams with edge marks, and of the whole word."""
-    w = f"<{word}>"
-    grams = [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
-    grams.append(w)
-    return [zlib.crc32(g.encode()) % BUCKETS for g in grams]
+#: Odd multiplier of the rolling and the final hash.
+MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, word numbers) of the words' 2- to 4-grams with edge marks and of the whole words."""
+    if not words:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le"), "<u4").astype(np.uint64)
+    start = np.cumsum(size) - size
+    word = np.repeat(np.arange(len(words)), size)
+    place = np.arange(len(codes)) - start[word]
+    grams, at = [], []
+    for n in (2, 3, 4):
+        fits = np.flatnonzero(place + n <= size[word])
+        h = np.full(len(fits), n, np.uint64)
+        for k in range(n):
+            h = h * MIX + codes[fits + k]
+        grams.append(h)
+        at.append(word[fits])
+    power = np.cumprod(np.r_[np.uint64(1), np.full(int(size.max()), MIX)])[: int(size.max())]
+    grams.append(np.add.reduceat(codes * power[place], start))
+    at.append(np.arange(len(words)))
+    buckets = (np.concatenate(grams) * MIX) >> np.uint64(40)
+    return (buckets % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(at)
 
 
 def words_of_text(text: str) -> Counter[str]:
@@ -57,36 +76,69 @@ class Model:
 
 
 class Reader:
-    """Language scores of texts; keeps a bounded memory of words."""
+    """Language scores of texts; keeps a bounded memory of words: their summed scores and subword counts."""
 
     def __init__(self, model: Model):
         self.model = model
-        self.known: dict[str, tuple[np.ndarray, int]] = {}
-
-    def logits(self, text: str) -> np.ndarray:
-        m = self.model
-        total, n = np.zeros(len(m.languages)), 0
-        for word, times in words_of_text(text).items():
-            got = self.known.get(word)
-            if got is None:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                ids = subwords(word)
-                got = self.known[word] = (m.table[ids].sum(axis=0), len(ids))
-            total += times * got[0]
-            n += times * got[1]
-        return total / (n + PRIOR) + m.bias
+        self.known: dict[str, int] = {}
+        self.sums = np.zeros((CACHE, len(model.languages)))
+        self.sizes = np.zeros(CACHE)
+
+    def _learn_words(self, words: list[str]) -> None:
+        first = len(self.known)
+        ids, at = subwords(words)
+        for k in range(self.sums.shape[1]):
+            self.sums[first : first + len(words), k] = np.bincount(at, weights=self.model.table[ids, k], minlength=len(words))
+        self.sizes[first : first + len(words)] = np.bincount(at, minlength=len(words))
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
+
+    def logits(self, bag: Counter[str]) -> np.ndarray:
+        """Averages over the bag's subwords; words are looked up in parts, so that any text fits the memory."""
+        total, n = self.model.bias * 0, 0.0
+        words = list(bag)
+        for k in range(0, len(words), CACHE // 4):
+            part = words[k : k + CACHE // 4]
+            new = [w for w in part if w not in self.known]
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+                new = part
+            if new:
+                self._learn_words(new)
+            rows = [self.known[w] for w in part]
+            times = np.array([bag[w] for w in part], float)
+            total = total + times @ self.sums[rows]
+            n += float(times @ self.sizes[rows])
+        return total / (n + PRIOR) + self.model.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, calibrated probability); ``und`` and 0 for a text that is null or has no letter."""
         if not self.model.languages or not has_letter(text):
             return UNDETERMINED, 0.0
-        z = self.logits(text) / self.model.temperature
+        z = self.logits(words_of_text(text)) / self.model.temperature
         p = np.exp(z - z.max())
         p /= p.sum()
         best = int(np.argmax(p))
         return self.model.languages[best], float(p[best])
 
+    def predict_many(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """As :meth:`predict`; new words of some texts at a time are scored together."""
+        out = []
+        for k in range(0, len(texts), 64):
+            part = texts[k : k + 64]
+            if self.model.languages:
+                fresh: set[str] = set()
+                for t in part:
+                    if t and len(t) < 100_000:
+                        fresh.update(LETTERS.findall(t.lower()))
+                new = [w for w in fresh if w not in self.known]
+                if len(self.known) + len(new) > CACHE:
+                    self.known.clear()
+                    new = list(fresh) if len(fresh) <= CACHE else []
+                if new:
+                    self._learn_words(new)
+            out += [self.predict(t) for t in part]
+        return out
+
 
 def learn(texts: list[str], langs: list[str], *, epochs: int = 4, rate: float = 0.5, seed: int = 7, held_back: float = 0.15, reject_share: float = 0.01) -> Model:
     """Stochastic gradient descent on the average-embedding softmax, then calibration on held-back texts.
@@ -100,12 +152,11 @@ def learn(texts: list[str], langs: list[str], *, epochs: int = 4, rate: float =
     y = np.array([names.index(x) for x in langs])
     bags = []
     for t in texts:
-        bag: Counter[int] = Counter()
-        for w, times in words_of_text(t).items():
-            for s in subwords(w):
-                bag[s] += times
-        ids = np.fromiter(bag.keys(), np.int64, len(bag))
-        share = np.fromiter(bag.values(), np.float64, len(bag))
+        words = words_of_text(t)
+        buckets, at = subwords(list(words))
+        times = np.fromiter(words.values(), np.float64, len(words))
+        ids, back = np.unique(buckets, return_inverse=True)
+        share = np.bincount(back, weights=times[at], minlength=len(ids))
         bags.append((ids, share / max(share.sum(), 1)))
     order = rng.permutation(len(texts))
     back = set(order[: int(held_back * len(order))].tolist())
@@ -179,7 +230,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]):
         reader, at = Reader(model), names.index(text)
         for batch in batches:
-            got = [reader.predict(t) for t in batch.column(at).to_pylist()]
+            got = reader.predict_many(batch.column(at).to_pylist())
             lang, score = [g[0] for g in got], [g[1] for g in got]
             rejected = [x == UNDETERMINED or s < model.threshold for x, s in got]
             yield pa.RecordBatch.from_arrays(
