@@ -4,7 +4,7 @@ Whole texts are tokenised in Arrow batches; only lengths and checksums leave the
 durable table. Pieces are dealt into blocks of about ``block_rows`` by a stored row number, so a
 block fits one task's memory at any corpus size and a repeated id cannot fill one block. Each block
 is packed on its own; a block wastes at most part of one sequence against packing all at once
-(one in some 8,000).
+(one in some 2,000).
 
 Within a block: pieces above a third of the capacity can share a sequence at most two at a time;
 the largest unmatched one takes the largest partner that fits (greedy matching). Then all smaller
@@ -163,7 +163,7 @@ def pack(
     text: str = "text",
     capacity: int = CAPACITY,
     end_id: int = END_ID,
-    block_rows: int = 16384,
+    block_rows: int = 4096,
     paths: tuple[str, str] | None = None,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
