@@ -8,6 +8,7 @@ A private folder is made only where that setting is missing (local tests).
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -35,6 +36,16 @@ def shared_base(spark: SparkSession) -> str:
     return _own_base
 
 
+_open: list[Scratch] = []
+
+
+def _close_all() -> None:
+    """At the driver's end no result can be read any more: the tables that results were read from go."""
+    for scratch in _open:
+        with contextlib.suppress(Exception):  # the session may have ended before
+            scratch.close()
+
+
 class Scratch:
     """Parquet tables of one operator call in the shared folder.
 
@@ -46,6 +57,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_base(spark)}/{label}-{uuid.uuid4().hex}"
+        if not _open:
+            atexit.register(_close_all)
+        _open.append(self)
         self._n = 0
         self.paths: list[str] = []
 
@@ -69,6 +83,10 @@ class Scratch:
         for path in [p for p in self.paths if p not in kept]:
             self._delete(path)
 
+    def close(self) -> None:
+        """Deletes all tables."""
+        self._delete(self.root)
+
     def _delete(self, path: str) -> None:
         self.paths = [p for p in self.paths if p != path]
         jvm = self.spark.sparkContext._jvm
