@@ -99,6 +99,18 @@ def test_components(spark, seed):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark, "t")).count() == 0
 
 
+def test_components_of_long_chains(spark):
+    """Chains in order, interleaved (every other node a local minimum) and shuffled."""
+    n = 3000
+    line = [(i, i + 1) for i in range(n)]
+    mixed = [(10_000 + (i // 2 if i % 2 else n + i // 2), 10_000 + ((i + 1) // 2 if i % 2 == 0 else n + (i + 1) // 2)) for i in range(n)]
+    order = (20_000 + np.random.default_rng(5).permutation(n)).tolist()
+    edges = [*line, *mixed, *zip(order, order[1:], strict=False)]
+    got = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark, "t")).collect()}
+    low = min(x for e in mixed for x in e)
+    assert got == {x: r for es, r in ((line, 0), (mixed, low), (edges[2 * n :], 20_000)) for e in es for x in e}
+
+
 def test_one_of_each_stays(spark):
     df = awkward(spark, texts())
     kept = simhash.keep_one_of_each(df)
