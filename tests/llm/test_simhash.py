@@ -119,3 +119,24 @@ def test_one_of_each_stays(spark):
     assert {i for i in ids if i is not None and i >= 100} == {100 + 10 * g for g in range(12)}
     assert sum(i in (1, 2, 3) for i in ids) == 1 and sum(i in (4, 5) for i in ids) == 1 and {6, 8, 9, None} <= set(ids)
     assert simhash.keep_one_of_each(empty(spark)).count() == 0
+
+
+@pytest.mark.parametrize("block", [512, 8])
+def test_similarity_is_exact_at_the_threshold(spark, monkeypatch, block):
+    """Pairs of 200 shingles that share 178 (0.802) or 177 (0.794), and classes of a common base: against brute force."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rows = []
+    for k in range(80):
+        words = prose(1000 + k, 204).split()
+        keep = 178 + 4 if k % 2 else 177 + 4
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:keep] + [f"tail{k}n{i}" for i in range(204 - keep)]))]
+    base = prose(5000, 204).split()
+    for k in range(40):
+        cut = [*base]
+        cut[(k * 37) % 200] = f"one{k}"
+        cut[(k * 61 + 9) % 200] = f"two{k}"
+        rows.append((1000 + k, " ".join(cut)))
+    sets = [{" ".join(t.lower().split()[i : i + 5]) for i in range(200)} for _, t in rows]
+    root = classes(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    got = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == sorted({rows[r][0] for r in root})
