@@ -3,7 +3,8 @@
 A spaced seed is a fixed mask over ``span`` consecutive tokens that reads some and ignores others, so a
 hash of what it reads survives substitutions at the ignored places. Seeds of all benchmark items and of
 all training documents are joined by hash; each hit names a (document, item, diagonal) and the overlap
-around it is extended both ways with a mismatch penalty and kept if long and alike enough.
+around it is extended both ways with a mismatch penalty. Every hit that no extension covers yet is extended,
+and the longest part of an extension that is long and alike enough is kept.
 
 Documents pass through a Bloom filter of the benchmark's seed hashes first (fixed size, whatever the
 benchmark's size), so only documents with a possible hit leave the scan, as token hashes. The join then
@@ -102,6 +103,32 @@ def extend(doc: np.ndarray, item: np.ndarray, diagonal: int, at: int) -> tuple[i
     return lo + start, lo + end, int(same[start:end].sum())
 
 
+def best_segment(doc: np.ndarray, item: np.ndarray, diagonal: int, hits: list[int], need: int, min_share: float) -> tuple[int, int, int] | None:
+    """(start, end, matches) of the overlap with most matches along a diagonal, of those that meet both bounds.
+
+    Looks at the extension around each of ``hits`` (document positions) that lies in none before it; within an
+    extension, at all segments whose share of equal tokens is ``min_share`` or more.
+    """
+    best, done = None, -1
+    for at in sorted(hits):
+        if at < done:
+            continue
+        lo, done, _ = extend(doc, item, diagonal, at)
+        same = doc[lo:done] == item[lo - diagonal : done - diagonal]
+        count = np.r_[0, np.cumsum(same)]
+        if count[-1] < need:
+            continue
+        # share >= min_share where surplus[j] >= surplus[i]; for each end j the first such i
+        surplus = count - (min_share - 1e-12) * np.arange(len(count))
+        i = np.searchsorted(-np.minimum.accumulate(surplus), -surplus, side="left")
+        matches = count - count[i]
+        j = int(np.argmax(matches))
+        if matches[j] >= max(need, 1) and (best is None or matches[j] > best[2]):
+            equal = np.flatnonzero(same[i[j] : j]) + int(i[j])  # unequal tokens at the rims count for nothing
+            best = (lo + int(equal[0]), lo + int(equal[-1]) + 1, int(matches[j]))
+    return best
+
+
 def _seeds_of(items: DataFrame, item_id: str, text: str) -> DataFrame:
     """(item, tokens) of the benchmark with one row an item."""
 
@@ -197,24 +224,22 @@ def overlaps(
     hits = scratch.save(hits.dropDuplicates(["row", "doc_id"]).withColumn("doc_key", F.xxhash64("row", "doc_id")), "distinct-hits")
     each = hits.select("doc_key", F.explode(F.arrays_zip("pos", "seed")).alias("s")).select("doc_key", "s.pos", "s.seed")
     met = each.join(seeds, "seed").select("doc_key", "item_key", "pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
-    diagonals = met.groupBy("doc_key", "item_key", "diagonal").agg(F.min("pos").alias("first"), F.max("pos").alias("last"))
+    diagonals = met.groupBy("doc_key", "item_key", "diagonal").agg(F.collect_set("pos").alias("hits"))  # an item's length at most
     diagonals = scratch.save(diagonals, "diagonals")
     sized = diagonals.join(items.select("item_key", "item_id", "item_tokens"), "item_key")
     pairs = scratch.save(sized, "candidates").join(hits.select("doc_key", "row", "doc_id", "tokens"), "doc_key")
-    pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "first", "last")
+    pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "hits")
 
     def verify(batches: Iterator[pa.RecordBatch]):
         schema = pa.schema([("i", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("matches", pa.int32()), ("n_item", pa.int32())])
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             doc_tokens, item_tokens = b.column(3), b.column(4)
-            for i, (d, f, l) in enumerate(zip(*(b.column(k).to_pylist() for k in (5, 6, 7)), strict=True)):
+            for i, (d, hits) in enumerate(zip(b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True)):
                 doc, item = doc_tokens[i].values.to_numpy(), item_tokens[i].values.to_numpy()
-                best = max((extend(doc, item, d, at) for at in {f, l}), key=lambda x: (x[2], x[0]))
-                start, end, same = best
-                need = min(min_matches, max(1, len(item) - 2))
-                if same >= need and same >= min_share * (end - start):
-                    for col, v in zip(out, (i, start, end, same, len(item)), strict=True):
+                found = best_segment(doc, item, d, hits, min(min_matches, max(1, len(item) - 2)), min_share)
+                if found:
+                    for col, v in zip(out, (i, *found, len(item)), strict=True):
                         col.append(v)
             at = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(

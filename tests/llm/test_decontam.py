@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from ripplebook.llm import decontam as d
 from tests.llm.util import awkward, empty, prose
@@ -56,3 +57,38 @@ def test_extend():
     doc, item = np.array([9, 1, 2, 3, 8, 5, 6, 7, 0]), np.array([1, 2, 3, 4, 5, 6, 7])
     assert d.extend(doc, item, 1, 2) == (1, 8, 6)
     assert d.extend(doc, item, 1, 5) == (1, 8, 6)
+
+
+def test_overlap_between_two_fragments_is_found(spark):
+    item = prose(4000, 56)
+    gaps = [*range(8, 15), *range(41, 48)]
+    df = awkward(spark, [(200, f"{prose(4001, 60)} {changed(item, *gaps)} {prose(4002, 60)}")])
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    (r,) = d.overlaps(df, bench).collect()
+    assert (r.doc_id, r.start, r.end, r.matches) == (200, 75, 101, 26)
+    assert 200 not in {x.doc_id for x in d.clean(df, bench).collect()}
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_segments_against_brute_force(seed):
+    """The overlap given is the best of all segments of the extensions around the hits."""
+    rng = np.random.default_rng(seed)
+    item = np.arange(1, 61)
+    doc = np.where(rng.random(60) < rng.choice([0.5, 0.7, 0.8]), item, 0)
+    hits = np.flatnonzero(doc == item).tolist()
+    ranges = [d.extend(doc, item, 0, h)[:2] for h in hits]
+    same = (doc == item).astype(int)
+    want = max((same[i:j].sum() for a, b in ranges for i in range(a, b) for j in range(i + 1, b + 1) if same[i:j].mean() >= 0.75), default=0)
+    got = d.best_segment(doc, item, 0, hits, 10, 0.75)
+    assert (got[2] if got else 0) == (want if want >= 10 else 0)
+    assert got is None or (same[got[0] : got[1]].sum() == got[2] and got[2] >= 0.75 * (got[1] - got[0]))
+
+
+def test_a_core_that_passes_is_not_lost_by_its_extension():
+    flags = np.array([1] * 10 + [0, 0, 1, 1, 1, 1, 1] * 12 + [0] * 14)
+    item = np.arange(1, len(flags) + 1)
+    doc = np.where(flags == 1, item, 0)
+    start, end, same = d.extend(doc, item, 0, 0)
+    assert same == 70 < 0.75 * (end - start)
+    start, end, same = d.best_segment(doc, item, 0, [0], 10, 0.75)
+    assert start == 0 and same >= 60 and same >= 0.75 * (end - start)
