@@ -31,6 +31,8 @@ MASKS = (
     (0, 2, 3, 5, 6, 8, 10),
     (0, 1, 3, 6, 7, 9, 10),
 )
+#: Items of fewer tokens have no seed; a hash of the whole item and its length stands in for one.
+SHORTEST = min(mask[-1] for mask in MASKS) + 1
 TOKENS = re.compile(r"[^\W_]+")
 #: The filter's size, 4 MB whatever the benchmark's size, and the bits that a seed sets.
 BITS, PROBES = 1 << 25, 4
@@ -45,11 +47,11 @@ def token_hashes(text: str | None) -> np.ndarray:
     return np.array([hash_(w) >> 1 for w in TOKENS.findall((text or "").casefold())], np.int64)
 
 
-def seed_hashes(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position, hash) of every seed of every mask; the mask is part of the hash."""
+def seed_hashes(tokens: np.ndarray, lengths: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray]:
+    """(position, hash) of every seed of every mask and of all runs of so many tokens; the mask is part of the hash."""
     where, what = [], []
     t = tokens.view(np.uint64)
-    for m, mask in enumerate(MASKS):
+    for m, mask in [*enumerate(MASKS), *((len(MASKS) + n, tuple(range(n))) for n in lengths)]:
         n = len(t) - mask[-1]
         if n <= 0:
             continue
@@ -146,7 +148,7 @@ def _explode_seeds(tokens: DataFrame, item_kind: str) -> DataFrame:
         for b in batches:
             keys, pos, what = [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):
-                p, h = seed_hashes(np.array(t or [], np.int64))
+                p, h = seed_hashes(np.array(t or [], np.int64), (len(t),) if t and len(t) < SHORTEST else ())
                 keys.append(np.full(len(p), i))
                 pos.append(p)
                 what.append(h)
@@ -186,16 +188,19 @@ def overlaps(
 
     The longest overlap of each pair is given. An overlap counts if it has ``min_matches`` equal tokens (for
     items of fewer than ``min_matches`` + 2 tokens: all but two) and ``min_share`` of its tokens are equal.
-    Items with fewer tokens than the shortest seed have no seeds and are found nowhere. Null and empty texts
-    match nothing; rows of one id and one text are reported once, repeated items once per distinct (id, text).
+    Items with fewer tokens than the shortest seed are found where they occur whole and unchanged. Null and empty
+    texts match nothing; rows of one id and one text are reported once, repeated items once per distinct (id, text).
+    Items without an id are reported with a null item_id.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontam")
-    items = scratch.save(_seeds_of(benchmark.filter(F.col(item_id).isNotNull()).select(item_id, item_text).distinct(), item_id, item_text), "items")
+    items = scratch.save(_seeds_of(benchmark.select(item_id, item_text).distinct(), item_id, item_text), "items")
     item_kind, doc_kind = dict(items.dtypes)["item_id"], dict(docs.dtypes)[doc_id]
     items = items.withColumn("item_key", F.xxhash64("item_id", "item_tokens"))
     items = scratch.save(items, "keyed-items")
     seeds = scratch.save(_explode_seeds(items.select("item_key", "item_tokens"), "bigint").withColumnRenamed("item_id", "item_key"), "seeds")
+    short = items.select(F.size("item_tokens").alias("n")).filter(f"n BETWEEN 1 AND {SHORTEST - 1}").distinct()
+    lengths = tuple(sorted(r.n for r in short.collect()))  # six numbers at most
     bloom = spark.sparkContext.broadcast(_bloom(seeds))  # BITS / 8 bytes
 
     at = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -207,7 +212,7 @@ def overlaps(
             keep, toks, pos, what = [], [], [], []
             for i, t in enumerate(b.column(2).to_pylist()):
                 tokens = token_hashes(t)
-                p, h = seed_hashes(tokens)
+                p, h = seed_hashes(tokens, lengths)
                 hit = _may_hold(bits, h)
                 if len(hit):
                     keep.append(i)
@@ -228,7 +233,7 @@ def overlaps(
     diagonals = scratch.save(diagonals, "diagonals")
     sized = diagonals.join(items.select("item_key", "item_id", "item_tokens"), "item_key")
     pairs = scratch.save(sized, "candidates").join(hits.select("doc_key", "row", "doc_id", "tokens"), "doc_key")
-    pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "hits")
+    pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "hits", "item_key")
 
     def verify(batches: Iterator[pa.RecordBatch]):
         schema = pa.schema([("i", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("matches", pa.int32()), ("n_item", pa.int32())])
@@ -243,12 +248,12 @@ def overlaps(
                         col.append(v)
             at = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(k).take(at) for k in (0, 1, 2)] + [pa.array(c, t) for c, t in zip(out[1:], schema.types[1:], strict=True)],
-                names=["row", "doc_id", "item_id", "start", "end", "matches", "n_item"],
+                [b.column(k).take(at) for k in (0, 1, 2, 7)] + [pa.array(c, t) for c, t in zip(out[1:], schema.types[1:], strict=True)],
+                names=["row", "doc_id", "item_id", "item_key", "start", "end", "matches", "n_item"],
             )
 
-    found = pairs.mapInArrow(verify, f"row bigint, doc_id {doc_kind}, item_id {item_kind}, start int, end int, matches int, n_item int")
-    best = found.groupBy("row", "doc_id", "item_id").agg(
+    found = pairs.mapInArrow(verify, f"row bigint, doc_id {doc_kind}, item_id {item_kind}, item_key bigint, start int, end int, matches int, n_item int")
+    best = found.groupBy("row", "doc_id", "item_id", "item_key").agg(
         F.max_by(F.struct("start", "end", "matches", "n_item"), F.struct("matches", F.col("start") * -1)).alias("b")
     )
     return best.select(*(["row"] if with_row else []), "doc_id", "item_id", "b.start", "b.end", "b.matches", "b.n_item")

@@ -92,3 +92,12 @@ def test_a_core_that_passes_is_not_lost_by_its_extension():
     assert same == 70 < 0.75 * (end - start)
     start, end, same = d.best_segment(doc, item, 0, [0], 10, 0.75)
     assert start == 0 and same >= 60 and same >= 0.75 * (end - start)
+
+
+def test_items_without_id_and_short_items_are_found(spark):
+    item = prose(4100, 30)
+    df = awkward(spark, [(200, f"{prose(4101, 60)} {item} {prose(4102, 60)}"), (201, f"{prose(4103, 60)} Quintessential zebra, maps! {prose(4104, 60)}"), (202, f"{prose(4105, 60)} zebra maps {prose(4106, 60)}")])
+    bench = spark.createDataFrame([(None, item), (None, "xylophone " * 9), (7, "quintessential zebra maps")], "item_id bigint, text string")
+    got = d.overlaps(df, bench).collect()
+    assert sorted((r.doc_id, r.item_id or 0, r.matches, r.n_item) for r in got) == [(200, 0, 30, 30), (201, 7, 3, 3)]
+    assert {200, 201, 202} & {x.doc_id for x in d.clean(df, bench).collect()} == {202}
