@@ -6,10 +6,11 @@ ends depend on nearby bytes only, an insertion moves the ends around it and no o
 two documents share has the same chunks in both, but for its rims. Chunks are compared by 128-bit digests: one
 aggregation (combined map-side, so a passage in a third of all rows is one row a task) finds those of several
 documents, one join marks their later occurrences. Neighbouring marked chunks make runs. A run's rims are
-widened by the words that stand next to it in its first document too, by one-byte word hashes that each chunk
-keeps of its EDGE neighbours on either side. Runs of ``min_words`` or more are repeats.
+widened word by word up to the first that differs from the first document's. One occurrence there is the pair of a
+rim; one-byte hashes that each chunk keeps of its EDGE neighbours on either side end most rims, and where all EDGE
+agree the words of both documents are read again, REACH of them and four times as many each further time. Runs of ``min_words`` or more are repeats.
 
-Texts never leave the scan: chunks carry digests and positions only.
+Chunks carry digests and positions only; word hashes leave the scan for the rims that go on.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from pyspark.sql.window import Window
 
 from ripplebook.llm.common import SPACES, WORD, Scratch
 
-MIN, MAX, CUT_BITS = 4, 40, 3
+MIN, MAX, CUT_BITS = 4, 40, 2
 EDGE = 8
+REACH = 64
 MIN_WORDS = 20
 WORDS = re.compile(WORD)
 #: One random number a byte value; any fixed table serves.
@@ -184,18 +186,93 @@ def repeated_spans(
     )
     runs = scratch.save(runs, "runs")
     # rims: the first document's neighbours of the run's first and last chunk (its first occurrence there)
-    first = all_of.filter(F.col("doc_id") == F.col("lo")).groupBy("d0", "d1").agg(F.min("before").alias("before0"), F.min("after").alias("after0"))
+    first = all_of.filter(F.col("doc_id") == F.col("lo")).groupBy("d0", "d1").agg(F.min(F.struct("row", "start", "words", "before", "after")).alias("o"))
     first = scratch.save(first, "first")
     scratch.drop(all_of)
     key = lambda side: [F.col(f"{side}.d0") == F.col("d0"), F.col(f"{side}.d1") == F.col("d1")]
-    left = scratch.save(runs.join(first, key("a"), "left").select(*runs.columns, F.col("a.before").alias("b"), "before0"), "left")
-    both = left.join(first.drop("before0"), key("z"), "left").select(*left.columns, F.col("z.after").alias("f"), "after0")
-    start, end = F.col("a.start") - _common("b", "before0"), F.col("end") + _common("f", "after0")
-    spans = both.select("row", "doc_id", start.cast("int").alias("start"), end.cast("int").alias("end"), F.col("a.lo").alias("first_doc_id"))
+    left = scratch.save(runs.join(first, key("a"), "left").select(*runs.columns, F.col("o").alias("p")), "left")
+    both = left.join(first, key("z"), "left").select(
+        "row", "doc_id", "run", F.col("a.start").alias("start"), "end", F.col("a.lo").alias("lo_left"), F.col("z.lo").alias("lo_right"),
+        F.col("p.row").alias("row_left"), F.col("p.start").alias("at_left"), F.col("o.row").alias("row_right"), (F.col("o.start") + F.col("o.words")).alias("at_right"),
+        F.col("a.before").alias("b"), F.col("p.before").alias("before0"), F.col("z.after").alias("f"), F.col("o.after").alias("after0"),
+    )
+    both = both.withColumn("more_left", _common("b", "before0")).withColumn("more_right", _common("f", "after0")).drop("b", "before0", "f", "after0")
+    both = scratch.save(both, "rims")
+    scratch.drop(runs, first, left)
+    wider = _widened(docs, doc_id, text, both, scratch)
+    same = (F.col("row") == F.col("w_row")) & F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("run") == F.col("w_run"))
+    joined = both.join(wider, same, "left")
+    start, end = F.col("start") - F.coalesce("w_left", "more_left"), F.col("end") + F.coalesce("w_right", "more_right")
+    spans = joined.select("row", "doc_id", start.cast("int").alias("start"), end.cast("int").alias("end"), F.col("lo_left").alias("first_doc_id"))
     spans = spans.withColumn("n_words", F.col("end") - F.col("start")).filter(F.col("n_words") >= min_words)
     return spans.select("row", "doc_id", "start", "end", "n_words", "first_doc_id")
 
 
+def _windows(docs: DataFrame, doc_id: str, text: str, asks: DataFrame, reach: int) -> DataFrame:
+    """row, doc_id, side, at and the hashes of up to ``reach`` words from word ``at`` on (side 1) or before it (side -1,
+    nearest first), for each of ``asks`` (row, doc_id, side, at)."""
+    asked = asks.groupBy("row", "doc_id").agg(F.collect_set(F.struct("side", "at")).alias("asks"))  # of one document
+    texts = docs.select(_text_hash(text).alias("__row"), F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
+    met = texts.join(asked, (F.col("__row") == F.col("row")) & F.col("__id").eqNullSafe(F.col("doc_id"))).select("row", "doc_id", "asks", "__text")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            who, side, at, out = [], [], [], []
+            for i, (asks, body) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                words = body.split()
+                for ask in asks:
+                    s, p = ask["side"], ask["at"]
+                    near = words[p : p + reach] if s > 0 else words[max(0, p - reach) : p][::-1]
+                    who.append(i)
+                    side.append(s)
+                    at.append(p)
+                    out.append([xxhash.xxh3_64_intdigest(w) - 2**63 for w in near])
+            take = pa.array(who, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(take), b.column(1).take(take), pa.array(side, pa.int32()), pa.array(at, pa.int32()), pa.array(out, pa.list_(pa.int64()))],
+                names=["row", "doc_id", "side", "at", "near"],
+            )
+
+    found = met.mapInArrow(run, f"row bigint, doc_id {dict(asks.dtypes)['doc_id']}, side int, at int, near array<bigint>")
+    return found.dropDuplicates(["row", "doc_id", "side", "at"])
+
+
+def _widened(docs: DataFrame, doc_id: str, text: str, rims: DataFrame, scratch: Scratch) -> DataFrame:
+    """w_row, w_id, w_run, w_left, w_right: by how many words the runs go on whose EDGE neighbours all agree (null where not)."""
+    sides = [
+        F.struct(F.lit(s).alias("side"), at.alias("at"), F.col(f"row_{n}").alias("row0"), F.col(f"lo_{n}").alias("id0"), F.col(f"at_{n}").alias("at0"), F.col(f"more_{n}").alias("n"))
+        for s, n, at in ((-1, "left", F.col("start")), (1, "right", F.col("end")))
+    ]
+    going = rims.select("row", "doc_id", "run", F.explode(F.array(*sides)).alias("r")).filter(F.col("r.n") == EDGE)
+    going = going.select("row", "doc_id", "run", "r.side", "r.at", "r.row0", "r.id0", "r.at0", F.lit(0).alias("n"))
+    going = scratch.save(going, "going")
+    done, reach = [], REACH
+    while not going.isEmpty():
+        here, there = F.col("at") + F.col("side") * F.col("n"), F.col("at0") + F.col("side") * F.col("n")
+        asks = going.select("row", "doc_id", "side", here.alias("at")).unionByName(going.select(F.col("row0").alias("row"), F.col("id0").alias("doc_id"), "side", there.alias("at")))
+        near = scratch.save(_windows(docs, doc_id, text, asks.distinct(), reach), "windows")
+        of = lambda k: near.select(*[F.col(c).alias(f"{k}_{c}") for c in near.columns])  # noqa: B023, E731
+        mine = (F.col("row") == F.col("m_row")) & F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("side") == F.col("m_side")) & (here == F.col("m_at"))
+        yours = (F.col("row0") == F.col("y_row")) & (F.col("id0") == F.col("y_doc_id")) & (F.col("side") == F.col("y_side")) & (there == F.col("y_at"))
+        met = scratch.save(going.join(of("m"), mine).select(*going.columns, "m_near"), "met").join(of("y"), yours)
+        differs = F.expr("array_position(zip_with(m_near, y_near, (x, y) -> coalesce(x = y, false)), false)")  # 0: nowhere
+        got = F.when(differs > 0, differs - 1).otherwise(F.size("m_near"))
+        met = met.select(*[c for c in going.columns if c != "n"], (F.col("n") + got).cast("int").alias("n"), (got == reach).alias("on"))
+        met = scratch.save(met, "widened")
+        scratch.drop(near, going)
+        done.append(met.filter("NOT on").drop("on"))
+        going = met.filter("on").drop("on")
+        reach *= 4
+    if not done:
+        done = [going]
+    out = done[0]
+    for df in done[1:]:
+        out = out.unionByName(df)
+    by = lambda s: F.max(F.when(F.col("side") == s, F.col("n")))
+    out = out.groupBy("row", "doc_id", "run").agg(by(-1).alias("w_left"), by(1).alias("w_right"))
+    return out.select(F.col("row").alias("w_row"), F.col("doc_id").alias("w_id"), F.col("run").alias("w_run"), "w_left", "w_right")
+
+
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of the spans and the white space after each; spans may overlap."""
     at = [m.span() for m in WORDS.finditer(text)]

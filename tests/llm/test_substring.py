@@ -56,3 +56,28 @@ def test_removal(spark):
 @pytest.mark.parametrize(("spans", "want"), [([(0, 1)], "b  c\nd"), ([(1, 3)], "a d"), ([(3, 4)], "a b  c\n"), ([(0, 4)], ""), ([(0, 2), (1, 3)], "d"), ([], "a b  c\nd")])
 def test_cut_words(spans, want):
     assert s.cut_words("a b  c\nd", spans) == want
+
+
+def test_passages_are_found_to_their_last_word(spark):
+    """Passages of 51 to 60 words at many offsets: each that shares a chunk at all is given from its first word to its last."""
+    rows, want = [], {}
+    for k in range(60):
+        size, at = 51 + k % 10, 30 + 3 * k % 41
+        passage = " ".join(f"{w}{k}" for w in prose(7000 + k, size).split())
+        own = lambda j: " ".join(f"{w}own{j}" for w in prose(8000 + j, 150).split())
+        for j in (2 * k, 2 * k + 1):
+            words = own(j).split()
+            cut = at if j % 2 else 20 + k % 7
+            rows.append((j, " ".join(words[:cut] + passage.split() + words[cut:])))
+        want[2 * k + 1] = (at, at + size, 2 * k)
+    got = s.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.start, r.end, r.first_doc_id) == want[r.doc_id] for r in got} == {True}
+    assert len({r.doc_id for r in got}) >= 57  # those missed hold no whole chunk
+
+
+def test_rims_go_on_beyond_one_reading(spark, monkeypatch):
+    monkeypatch.setattr(s, "REACH", 2)
+    passage = " ".join(f"{w}z" for w in prose(7100, 57).split())
+    rows = [(k, f"{prose(7200 + k, 31 + 5 * k)} {passage} {prose(7300 + k, 40)}") for k in range(4)]
+    got = s.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.start, r.end) for r in got) == [(k, 31 + 5 * k, 88 + 5 * k) for k in (1, 2, 3)]
