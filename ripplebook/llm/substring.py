@@ -1,16 +1,16 @@
 """Substring dedup: content-defined chunks by a gear rolling hash, deduplicated by digest.
 
-A text's words, joined by single spaces, run through a gear hash of 32 bytes' reach; a chunk ends after
-a word where the hash's top bits are zero (one word in ``2**CUT_BITS``), between MIN and MAX words. As
-ends depend on nearby bytes only, an insertion moves the ends around it and no others, so a passage that
-two documents share has the same chunks in both, but for its rims. Chunks are compared by 128-bit digests: one
-aggregation (combined map-side, so a passage in a third of all rows is one row a task) finds those of several
-documents, one join marks their later occurrences. Neighbouring marked chunks make runs. A run's rims are
-widened word by word up to the first that differs from the first document's. One occurrence there is the pair of a
-rim; one-byte hashes that each chunk keeps of its EDGE neighbours on either side end most rims, and where all EDGE
-agree the words of both documents are read again, REACH of them and four times as many each further time. Runs of ``min_words`` or more are repeats.
-
-Chunks carry digests and positions only; word hashes leave the scan for the rims that go on.
+A text's words, joined by single spaces, run through a gear hash of which 16 bytes' reach is read; a chunk
+ends after a word whose hash is the least of the ``REACH_CUT`` words on either side, after MAX words at the latest. As
+ends depend on nearby bytes only (never on the cut before), an insertion moves the ends around it and no others, and a
+passage that two documents share has the same chunks in both, but for some words at its rims. Chunks are compared by
+128-bit digests: one aggregation (combined map-side, so a passage in a third of all rows is one row a task) finds those of
+several documents, one join gives each later occurrence its place in the first document. Neighbouring chunks that lie side by
+side in one first document too make runs, so a run is a passage of that document word for word. Runs are widened by the
+words themselves, ``REACH`` of them and four times as many each further time, up to the first that differs. What then has
+``min_words`` or more is a repeat; repeats within others are left out.
+
+Chunks carry digests and positions only; word hashes leave the scan around rims, where the chunk beside is not told already.
 """
 
 from __future__ import annotations
@@ -27,17 +27,20 @@ from pyspark.sql.window import Window
 
 from ripplebook.llm.common import SPACES, WORD, Scratch
 
-MIN, MAX, CUT_BITS = 4, 40, 2
-EDGE = 8
-REACH = 64
+REACH_CUT, MAX = 4, 64
+REACH = 16
 MIN_WORDS = 20
+#: Places of one chunk in its first document that its later occurrences are dealt to in turn; a lookup width, no cap on what is found.
+PLACES = 64
+#: Rims that are broadcast to find their texts, some 60 bytes each; more are joined by a shuffle.
+FEW_RIMS = 1 << 16
 WORDS = re.compile(WORD)
 #: One random number a byte value; any fixed table serves.
 GEAR = np.random.default_rng(20).integers(0, 2**32, 256, dtype=np.uint32)
 
 
 def gear(data: bytes) -> np.ndarray:
-    """The rolling hash after each byte: h = 2h + GEAR[byte] mod 2**32, which the last 32 bytes fix."""
+    """The rolling hash after each byte: h = 2h + GEAR[byte] mod 2**32, which the last 32 bytes fix (its low 16 bits: the last 16)."""
     h = GEAR[np.frombuffer(data, np.uint8)]
     reach = 1
     while reach < 32:  # twice the reach a step
@@ -47,105 +50,69 @@ def gear(data: bytes) -> np.ndarray:
     return h
 
 
-def chunk_ends(ends: np.ndarray, hashes: np.ndarray) -> list[int]:
-    """Word numbers after which chunks end, from each word's last byte position and the rolling hash."""
-    n = len(ends)
-    good = (np.flatnonzero(hashes[ends] >> np.uint32(32 - CUT_BITS) == 0) + 1).tolist()
+def chunk_ends(at_ends: np.ndarray) -> list[int]:
+    """Word numbers after which chunks end, from the rolling hash after each word."""
+    n = len(at_ends)
+    value = (at_ends & np.uint32(0xFFFF)).astype(np.int32)
+    edge = np.full(REACH_CUT, 1 << 16, np.int32)
+    least = np.lib.stride_tricks.sliding_window_view(np.r_[edge, value, edge], REACH_CUT).min(axis=1)
+    # less than all before and no more than all after: the first of equal words
+    good = (np.flatnonzero((value < least[:n]) & (value <= least[REACH_CUT + 1 : REACH_CUT + 1 + n])) + 1).tolist()
     out, last = [], 0
-    for e in good:
-        if e - last < MIN:
-            continue
+    for e in [*good, n]:
         while e - last > MAX:
             last += MAX
             out.append(last)
-        if e - last >= MIN:
+        if e > last:
             out.append(e)
             last = e
-    while n - last > MAX:
-        last += MAX
-        out.append(last)
-    if last < n:
-        out.append(n)
     return out
 
 
-def _packed(hashes: np.ndarray) -> int:
-    """Up to EDGE one-byte hashes (1 to 255; 0 where there is no word) as a signed 64-bit number."""
-    out = np.zeros(EDGE, np.uint8)
-    out[: len(hashes)] = hashes
-    return int(out.view("<i8")[0])
-
-
-def chunks_of(text: bytes) -> tuple[list[int], list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """(start words, lengths in words, digests (n, 2), words before (n), words after (n)) of a text's chunks."""
+def chunks_of(text: bytes) -> tuple[list[int], list[int], np.ndarray, list[int]]:
+    """(start words, lengths in words, digests (n, 2), how many equal chunks come before) of a text's chunks."""
     words = text.split()
     if not words:
-        none = np.zeros(0, np.int64)
-        return [], [], none.reshape(0, 2), none, none
+        return [], [], np.zeros((0, 2), np.int64), []
     data = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 2
-    hashes = gear(data)
-    stops = chunk_ends(ends, hashes)
+    stops = chunk_ends(gear(data)[ends])
     starts = [0, *stops[:-1]]
     begin = np.r_[0, ends[:-1] + 2]
-    digest = xxhash.xxh3_128_digest
-    raw = b"".join([digest(data[a:b]) for a, b in zip(begin[starts].tolist(), (ends[np.array(stops) - 1] + 1).tolist(), strict=True)])
-    digests = np.frombuffer(raw, "<i8").reshape(-1, 2)
-    # a word's byte: of its own rolling hash, taken over the word alone, so that it is the same anywhere
-    own = (_word_sums(data, begin, ends) % np.uint64(255) + np.uint64(1)).astype(np.uint8)
-    pad = np.r_[np.zeros(EDGE, np.uint8), own, np.zeros(EDGE, np.uint8)]
-    views = np.lib.stride_tricks.sliding_window_view(pad, EDGE)
-    before = np.ascontiguousarray(views[starts][:, ::-1]).view("<i8").ravel()  # nearest word first
-    after = np.ascontiguousarray(views[np.array(stops) + EDGE]).view("<i8").ravel()
-    return starts, [b - a for a, b in zip(starts, stops, strict=True)], digests, before, after
-
-
-def _word_sums(data: bytes, begin: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each word that its bytes and their order fix."""
-    raw = np.frombuffer(data, np.uint8)
-    place = np.arange(len(raw), dtype=np.uint64) - np.repeat(begin.astype(np.uint64), np.diff(np.r_[begin, len(raw)]))
-    mixed = GEAR[raw].astype(np.uint64) * (place * np.uint64(0x9E3779B1) + np.uint64(1))
-    mixed[raw == 32] = 0
-    return np.add.reduceat(mixed, begin) >> np.uint64(7)
+    digest, seen, nth = xxhash.xxh3_128_digest, {}, []
+    raw = [digest(data[a:b]) for a, b in zip(begin[starts].tolist(), (ends[np.array(stops) - 1] + 1).tolist(), strict=True)]
+    for d in raw:
+        nth.append(k := seen.get(d, 0))
+        seen[d] = k + 1
+    return starts, [b - a for a, b in zip(starts, stops, strict=True)], np.frombuffer(b"".join(raw), "<i8").reshape(-1, 2), nth
 
 
 def chunk_table(rows: DataFrame) -> DataFrame:
-    """row, doc_id, start, words, d0, d1, before, after for each chunk of ``rows`` (row, doc_id, text)."""
+    """row, doc_id, start, words, d0, d1, nth for each chunk of ``rows`` (row, doc_id, text)."""
     kind = dict(rows.dtypes)["doc_id"]
-    names = ["row", "doc_id", "start", "words", "d0", "d1", "before", "after"]
+    names = ["row", "doc_id", "start", "words", "d0", "d1", "nth"]
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            at, start, size, dig, bef, aft = [], [], [], [], [], []
+            at, start, size, digests, nth = [], [], [], [np.zeros((0, 2), np.int64)], []
             for i, text in enumerate(batch.column(2).to_pylist()):
-                s, n, d, b, a = chunks_of(text)
+                s, n, d, k = chunks_of(text)
                 at.append(np.full(len(s), i))
                 start += s
                 size += n
-                dig.append(d)
-                bef.append(b)
-                aft.append(a)
-            cat = lambda x, w=None: np.concatenate(x) if x else np.zeros((0, 2) if w else 0, np.int64)
-            take, d = pa.array(cat(at).astype(np.int64)), cat(dig, 2)
+                digests.append(d)
+                nth += k
+            take = pa.array(np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int64))
+            d = np.concatenate(digests)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(start, pa.int32()), pa.array(size, pa.int32())]
                 + [pa.array(np.ascontiguousarray(d[:, k])) for k in (0, 1)]
-                + [pa.array(cat(bef)), pa.array(cat(aft))],
+                + [pa.array(nth, pa.int32())],
                 names=names,
             )
 
     binary = rows.select("row", "doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    return binary.mapInArrow(run, f"row bigint, doc_id {kind}, start int, words int, d0 bigint, d1 bigint, before bigint, after bigint")
-
-
-def _common(a: str, b: str):
-    """How many of the nearest EDGE words of two packed neighbourhoods are equal, from the nearest on."""
-    byte = lambda c, k: F.expr(f"(shiftrightunsigned({c}, {8 * k}) & 255)")
-    out = F.lit(EDGE)
-    for k in reversed(range(EDGE)):
-        same = (byte(a, k) == byte(b, k)) & (byte(a, k) != 0)
-        out = F.when(same, out).otherwise(F.lit(k))
-    return F.coalesce(out, F.lit(0))
+    return binary.mapInArrow(run, f"row bigint, doc_id {kind}, start int, words int, d0 bigint, d1 bigint, nth int")
 
 
 def _text_hash(text: str):
@@ -161,11 +128,12 @@ def repeated_spans(
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """Passages that an earlier document has too: row (the text's hash; a document is known by it and its id),
-    doc_id, start, end (word numbers, end exclusive), n_words and first_doc_id.
+    doc_id, start, end (word numbers, end exclusive), n_words and first_doc_id, which has the same words in a row.
 
     The document of the smallest doc_id keeps a passage; it is a repeat in all others (null ids come last;
     passages of null ids alone are kept). Rows of one doc_id are one document: they do not repeat each other.
-    Null and empty texts have no chunks; rows of one id and one text give each span once.
+    Null and empty texts have no chunks; rows of one id and one text give each span once. Spans within longer ones are
+    left out; spans may overlap where their words have different first documents.
     """
     scratch = scratch or Scratch(docs.sparkSession, "substring")
     rows = docs.select(_text_hash(text).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
@@ -175,102 +143,104 @@ def repeated_spans(
     shared = scratch.save(shared.select("d0", "d1", "lo"), "shared")
     all_of = scratch.save(chunks.join(shared, ["d0", "d1"]), "occurrences")
     scratch.drop(chunks, shared)
-    later = all_of.filter(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("lo")))
-    later = later.dropDuplicates(["row", "doc_id", "start"])
-    w = Window.partitionBy("row", "doc_id").orderBy("start")  # a document's own marked chunks
-    marked = later.withColumn("new", (F.lag(F.col("start") + F.col("words")).over(w).eqNullSafe(F.col("start")) == F.lit(False)).cast("int"))
-    marked = marked.withColumn("run", F.sum("new").over(w))
-    at = F.struct("start", "d0", "d1", "lo", "before", "after")
-    runs = marked.groupBy("row", "doc_id", "run").agg(
-        F.min(at).alias("a"), F.max(at).alias("z"), F.max(F.col("start") + F.col("words")).alias("end")
-    )
-    runs = scratch.save(runs, "runs")
-    # rims: the first document's neighbours of the run's first and last chunk (its first occurrence there)
-    first = all_of.filter(F.col("doc_id") == F.col("lo")).groupBy("d0", "d1").agg(F.min(F.struct("row", "start", "words", "before", "after")).alias("o"))
+    # places in the first document: of one text, if several rows have its id
+    places = all_of.filter(F.col("doc_id") == F.col("lo")).groupBy("d0", "d1", "row").agg(F.slice(F.sort_array(F.collect_set("start")), 1, PLACES).alias("at"))
+    first = places.groupBy("d0", "d1").agg(F.min("row").alias("row0"), F.min_by("at", "row").alias("at"))
     first = scratch.save(first, "first")
+    later = all_of.filter(F.col("doc_id").isNull() | (F.col("doc_id") > F.col("lo"))).withColumn("idh", F.xxhash64("doc_id"))
+    later = scratch.save(later.dropDuplicates(["row", "idh", "start"]), "later")
     scratch.drop(all_of)
-    key = lambda side: [F.col(f"{side}.d0") == F.col("d0"), F.col(f"{side}.d1") == F.col("d1")]
-    left = scratch.save(runs.join(first, key("a"), "left").select(*runs.columns, F.col("o").alias("p")), "left")
-    both = left.join(first, key("z"), "left").select(
-        "row", "doc_id", "run", F.col("a.start").alias("start"), "end", F.col("a.lo").alias("lo_left"), F.col("z.lo").alias("lo_right"),
-        F.col("p.row").alias("row_left"), F.col("p.start").alias("at_left"), F.col("o.row").alias("row_right"), (F.col("o.start") + F.col("o.words")).alias("at_right"),
-        F.col("a.before").alias("b"), F.col("p.before").alias("before0"), F.col("z.after").alias("f"), F.col("o.after").alias("after0"),
-    )
-    both = both.withColumn("more_left", _common("b", "before0")).withColumn("more_right", _common("f", "after0")).drop("b", "before0", "f", "after0")
-    both = scratch.save(both, "rims")
-    scratch.drop(runs, first, left)
-    wider = _widened(docs, doc_id, text, both, scratch)
-    same = (F.col("row") == F.col("w_row")) & F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("run") == F.col("w_run"))
-    joined = both.join(wider, same, "left")
-    start, end = F.col("start") - F.coalesce("w_left", "more_left"), F.col("end") + F.coalesce("w_right", "more_right")
-    spans = joined.select("row", "doc_id", start.cast("int").alias("start"), end.cast("int").alias("end"), F.col("lo_left").alias("first_doc_id"))
-    spans = spans.withColumn("n_words", F.col("end") - F.col("start")).filter(F.col("n_words") >= min_words)
-    return spans.select("row", "doc_id", "start", "end", "n_words", "first_doc_id")
-
-
-def _windows(docs: DataFrame, doc_id: str, text: str, asks: DataFrame, reach: int) -> DataFrame:
-    """row, doc_id, side, at and the hashes of up to ``reach`` words from word ``at`` on (side 1) or before it (side -1,
-    nearest first), for each of ``asks`` (row, doc_id, side, at)."""
-    asked = asks.groupBy("row", "doc_id").agg(F.collect_set(F.struct("side", "at")).alias("asks"))  # of one document
-    texts = docs.select(_text_hash(text).alias("__row"), F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
-    met = texts.join(asked, (F.col("__row") == F.col("row")) & F.col("__id").eqNullSafe(F.col("doc_id"))).select("row", "doc_id", "asks", "__text")
+    placed = later.join(first, ["d0", "d1"]).withColumn("at0", F.get("at", F.pmod(F.col("nth"), F.size("at"))))
+    placed = placed.select("row", "idh", "doc_id", "start", (F.col("start") + F.col("words")).alias("end"), "lo", "row0", "at0")
+    of_doc = Window.partitionBy("row", "idh").orderBy("start")  # a document's own marked chunks
+    before = lambda c: F.lag(c).over(of_doc)
+    follows = (before("end") == F.col("start")) & (before("lo") == F.col("lo")) & (before("row0") == F.col("row0"))
+    follows &= before(F.col("at0") + F.col("end") - F.col("start")) == F.col("at0")
+    marked = placed.withColumn("new", F.when(follows, 0).otherwise(1)).withColumn("run", F.sum("new").over(of_doc))
+    runs = marked.groupBy("row", "idh", "run").agg(
+        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("lo").alias("lo"), F.min("row0").alias("row0"), F.min("at0").alias("at0")
+    )
+    # a rim need not be read where a run that is long enough goes on from another
+    long = F.col("end") - F.col("start") >= min_words
+    beside = lambda f, mine, its: long & f(long).over(of_doc) & (f(its).over(of_doc) == F.col(mine))
+    runs = runs.withColumns({"told_left": beside(F.lag, "start", "end"), "told_right": beside(F.lead, "end", "start")})
+    runs = scratch.save(runs, "runs")
+    scratch.drop(later, first)
+    wider = _widened(docs, doc_id, text, runs, scratch)
+    found = runs.join(wider, ["row", "idh", "run"], "left").select(
+        "row", "idh", "doc_id", (F.col("start") - F.coalesce("left", F.lit(0))).alias("start"), (F.col("end") + F.coalesce("right", F.lit(0))).alias("end"), "lo"
+    )
+    found = found.filter(F.col("end") - F.col("start") >= min_words)
+    ahead = Window.partitionBy("row", "idh").orderBy("start", F.col("end").desc(), "lo").rowsBetween(Window.unboundedPreceding, -1)
+    spans = found.withColumn("reached", F.max("end").over(ahead)).filter("reached is null or end > reached")
+    return spans.select("row", "doc_id", "start", "end", (F.col("end") - F.col("start")).alias("n_words"), F.col("lo").alias("first_doc_id"))
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            who, side, at, out = [], [], [], []
-            for i, (asks, body) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
-                words = body.split()
-                for ask in asks:
-                    s, p = ask["side"], ask["at"]
-                    near = words[p : p + reach] if s > 0 else words[max(0, p - reach) : p][::-1]
-                    who.append(i)
-                    side.append(s)
-                    at.append(p)
-                    out.append([xxhash.xxh3_64_intdigest(w) - 2**63 for w in near])
-            take = pa.array(who, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(side, pa.int32()), pa.array(at, pa.int32()), pa.array(out, pa.list_(pa.int64()))],
-                names=["row", "doc_id", "side", "at", "near"],
-            )
 
-    found = met.mapInArrow(run, f"row bigint, doc_id {dict(asks.dtypes)['doc_id']}, side int, at int, near array<bigint>")
-    return found.dropDuplicates(["row", "doc_id", "side", "at"])
+def _near(words: list[bytes], side: int, at: int, reach: int) -> list[int]:
+    """Hashes of up to ``reach`` words from word ``at`` on (side 1) or before it (side -1), nearest first."""
+    near = words[at : at + reach] if side > 0 else words[max(0, at - reach) : at][::-1]
+    return [xxhash.xxh3_64_intdigest(w) - 2**63 for w in near]
+
 
+def _read_around(texts: DataFrame, asks: DataFrame, reach: int, few: bool) -> DataFrame:
+    """``asks`` (row, idh, side, here and more) with ``near``, the words' hashes; ``texts`` has row, idh and __text (binary).
 
-def _widened(docs: DataFrame, doc_id: str, text: str, rims: DataFrame, scratch: Scratch) -> DataFrame:
-    """w_row, w_id, w_run, w_left, w_right: by how many words the runs go on whose EDGE neighbours all agree (null where not)."""
-    sides = [
-        F.struct(F.lit(s).alias("side"), at.alias("at"), F.col(f"row_{n}").alias("row0"), F.col(f"lo_{n}").alias("id0"), F.col(f"at_{n}").alias("at0"), F.col(f"more_{n}").alias("n"))
-        for s, n, at in ((-1, "left", F.col("start")), (1, "right", F.col("end")))
-    ]
-    going = rims.select("row", "doc_id", "run", F.explode(F.array(*sides)).alias("r")).filter(F.col("r.n") == EDGE)
-    going = going.select("row", "doc_id", "run", "r.side", "r.at", "r.row0", "r.id0", "r.at0", F.lit(0).alias("n"))
-    going = scratch.save(going, "going")
-    done, reach = [], REACH
+    A text's asks travel with it as one array; ``few``: they are sent to the texts instead of moving these.
+    """
+    more = [c for c in asks.columns if c not in ("row", "idh")]
+    kinds = dict(asks.dtypes)
+    asked = asks.groupBy("row", "idh").agg(F.collect_list(F.struct(*more)).alias("asks"))  # of one document
+    met = texts.join(F.broadcast(asked) if few else asked.hint("merge"), ["row", "idh"]).select("row", "idh", "asks", "__text")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            lists = b.column(2)
+            counts = np.diff(lists.offsets.to_numpy())
+            flat = lists.flatten()
+            side, here = flat.field("side").to_pylist(), flat.field("here").to_pylist()
+            out, k = [], 0
+            for n, body in zip(counts.tolist(), b.column(3), strict=True):
+                words = body.as_py().split()
+                out += [_near(words, side[j], here[j], reach) for j in range(k, k + n)]
+                k += n
+            take = pa.array(np.repeat(np.arange(len(counts)), counts))
+            fields = [flat.field(c) for c in more]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *fields, pa.array(out, pa.list_(pa.int64()))], names=["row", "idh", *more, "near"])
+
+    return met.mapInArrow(run, ", ".join(["row bigint", "idh bigint", *[f"{c} {kinds[c]}" for c in more], "near array<bigint>"]))
+
+
+def _widened(docs: DataFrame, doc_id: str, text: str, runs: DataFrame, scratch: Scratch) -> DataFrame:
+    """row, idh, run, left, right: by how many words the runs go on that are not told to end (null on a side that is)."""
+    texts = docs.select(_text_hash(text).alias("row"), F.xxhash64(doc_id).alias("idh"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
+    rim = lambda s, told, at, at0: F.when(~F.coalesce(told, F.lit(False)) & (at > 0) & (at0 > 0), F.struct(F.lit(s).alias("side"), at.alias("here"), at0.alias("there")))
+    length = F.col("end") - F.col("start")
+    left = rim(-1, F.col("told_left"), F.col("start"), F.col("at0"))
+    right = rim(1, F.col("told_right"), F.col("end"), F.col("at0") + length)
+    going = runs.select("row", "idh", "run", "row0", F.xxhash64("lo").alias("idh0"), F.explode(F.array_compact(F.array(left, right))).alias("r"))
+    going = scratch.save(going.select("row", "idh", "run", "row0", "idh0", "r.*", F.lit(0).alias("n")), "going")
+    done, reach, few = [], REACH, False
     while not going.isEmpty():
-        here, there = F.col("at") + F.col("side") * F.col("n"), F.col("at0") + F.col("side") * F.col("n")
-        asks = going.select("row", "doc_id", "side", here.alias("at")).unionByName(going.select(F.col("row0").alias("row"), F.col("id0").alias("doc_id"), "side", there.alias("at")))
-        near = scratch.save(_windows(docs, doc_id, text, asks.distinct(), reach), "windows")
-        of = lambda k: near.select(*[F.col(c).alias(f"{k}_{c}") for c in near.columns])  # noqa: B023, E731
-        mine = (F.col("row") == F.col("m_row")) & F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & (F.col("side") == F.col("m_side")) & (here == F.col("m_at"))
-        yours = (F.col("row0") == F.col("y_row")) & (F.col("id0") == F.col("y_doc_id")) & (F.col("side") == F.col("y_side")) & (there == F.col("y_at"))
-        met = scratch.save(going.join(of("m"), mine).select(*going.columns, "m_near"), "met").join(of("y"), yours)
-        differs = F.expr("array_position(zip_with(m_near, y_near, (x, y) -> coalesce(x = y, false)), false)")  # 0: nowhere
-        got = F.when(differs > 0, differs - 1).otherwise(F.size("m_near"))
-        met = met.select(*[c for c in going.columns if c != "n"], (F.col("n") + got).cast("int").alias("n"), (got == reach).alias("on"))
-        met = scratch.save(met, "widened")
-        scratch.drop(near, going)
+        mine = scratch.save(_read_around(texts, going, reach, few), "mine")
+        asks = going.select(F.col("row0").alias("row"), F.col("idh0").alias("idh"), "side", F.col("there").alias("here")).distinct()
+        theirs = _read_around(texts, asks, reach, few).dropDuplicates(["row", "idh", "side", "here"])
+        theirs = scratch.save(theirs.select(F.col("row").alias("row0"), F.col("idh").alias("idh0"), "side", F.col("here").alias("there"), F.col("near").alias("its")), "theirs")
+        differs = F.expr("array_position(zip_with(near, its, (x, y) -> coalesce(x = y, false)), false)")  # 0: nowhere
+        got = F.when(differs > 0, differs - 1).otherwise(F.size("near")).cast("int")
+        met = mine.join(theirs, ["row0", "idh0", "side", "there"]).withColumn("got", got)
+        step = F.col("side") * F.col("got")
+        met = met.select("row", "idh", "run", "row0", "idh0", "side", (F.col("here") + step).alias("here"), (F.col("there") + step).alias("there"), (F.col("n") + F.col("got")).alias("n"), (F.col("got") == reach).alias("on"))
+        met = scratch.save(met.distinct(), "widened")  # repeated rows have asked as often
+        scratch.drop(going, mine, theirs)
         done.append(met.filter("NOT on").drop("on"))
         going = met.filter("on").drop("on")
+        few = going.limit(FEW_RIMS + 1).count() <= FEW_RIMS
         reach *= 4
-    if not done:
-        done = [going]
-    out = done[0]
+    out = done[0] if done else going
     for df in done[1:]:
         out = out.unionByName(df)
     by = lambda s: F.max(F.when(F.col("side") == s, F.col("n")))
-    out = out.groupBy("row", "doc_id", "run").agg(by(-1).alias("w_left"), by(1).alias("w_right"))
-    return out.select(F.col("row").alias("w_row"), F.col("doc_id").alias("w_id"), F.col("run").alias("w_run"), "w_left", "w_right")
+    return out.groupBy("row", "idh", "run").agg(by(-1).alias("left"), by(1).alias("right"))
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
