@@ -6,9 +6,10 @@ all training documents are joined by hash; each hit names a (document, item, dia
 around it is extended both ways with a mismatch penalty. Every hit that no extension covers yet is extended,
 and the longest part of an extension that is long and alike enough is kept.
 
-Documents pass through a Bloom filter of the benchmark's seed hashes first (fixed size, whatever the
-benchmark's size), so only documents with a possible hit leave the scan, as token hashes. The join then
-removes the filter's false positives. All joins are on saved tables, so AQE splits hot seeds.
+Documents pass through a Bloom filter of the benchmark's seed hashes first (sized by their number, 16 MB at most),
+so only documents with a possible hit leave the scan, as token hashes. The join then removes the filter's
+false positives. A document's tokens are read once more, to cut out what lies along each diagonal, so that a
+candidate carries an item's length of tokens at most. All joins are on saved tables, so AQE splits hot seeds and items.
 """
 
 from __future__ import annotations
@@ -34,8 +35,9 @@ MASKS = (
 #: Items of fewer tokens have no seed; a hash of the whole item and its length stands in for one.
 SHORTEST = min(mask[-1] for mask in MASKS) + 1
 TOKENS = re.compile(r"[^\W_]+")
-#: The filter's size, 4 MB whatever the benchmark's size, and the bits that a seed sets.
-BITS, PROBES = 1 << 25, 4
+#: The filter has some BITS_A_SEED bits a seed, between these bounds (128 KB to 16 MB), and a seed sets PROBES of them. Beyond
+#: the upper bound more documents pass it, for the join to sort out.
+BITS_A_SEED, LEAST_BITS, MOST_BITS, PROBES = 24, 1 << 20, 1 << 27, 4
 #: An overlap must have this many equal tokens (fewer only for items that are shorter) and this share of equal ones.
 MIN_MATCHES, MIN_SHARE = 10, 0.75
 MISMATCH, DROP = 2, 8
@@ -66,17 +68,17 @@ def seed_hashes(tokens: np.ndarray, lengths: tuple[int, ...] = ()) -> tuple[np.n
     return np.concatenate(where), np.concatenate(what)
 
 
-def _bit(hashes: np.ndarray, k: int) -> np.ndarray:
-    """The k-th of a seed's PROBES places in the filter (double hashing)."""
+def _bit(hashes: np.ndarray, k: int, size: int) -> np.ndarray:
+    """The k-th of a seed's PROBES places in a filter of ``size`` bits, a power of two (double hashing)."""
     h = hashes.view(np.uint64)
-    return (h % np.uint64(BITS) + np.uint64(k) * (h >> np.uint64(40))) % np.uint64(BITS)
+    return (h + np.uint64(k) * (h >> np.uint64(36))) & np.uint64(size - 1)
 
 
 def _may_hold(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Numbers of the hashes whose places are all set; later places are read for what passed the earlier."""
     left = np.arange(len(hashes))
     for k in range(PROBES):
-        at = _bit(hashes[left], k)
+        at = _bit(hashes[left], k, 8 * len(bits))
         left = left[(bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
     return left
 
@@ -159,16 +161,20 @@ def _explode_seeds(tokens: DataFrame, item_kind: str) -> DataFrame:
     return tokens.mapInArrow(run, f"item_id {item_kind}, item_pos int, seed bigint")
 
 
+def filter_bits(n_seeds: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_A_SEED * n_seeds - 1).bit_length() if n_seeds else 0))
+
+
 def _bloom(seeds: DataFrame) -> np.ndarray:
-    """BITS bits, PROBES of them set for each benchmark seed; at most BITS / 8 small rows come back."""
-    base, step = F.pmod(F.col("seed"), F.lit(BITS)), F.shiftrightunsigned("seed", 40)
-    at = F.explode(F.array(*[F.pmod(base + F.lit(k) * step, F.lit(BITS)) for k in range(PROBES)]))
-    places = seeds.select(at.alias("at")).distinct()
-    byte = places.select(F.shiftright("at", 3).cast("int").alias("b"), F.expr("shiftleft(1, cast(at & 7 as int))").alias("v"))
-    got = byte.groupBy("b").agg(F.bit_or("v").alias("v")).toArrow()
-    out = np.zeros(BITS // 8, np.uint8)
-    out[got.column("b").to_numpy()] = got.column("v").to_numpy().astype(np.uint8)
-    return out
+    """A filter with PROBES bits set for each benchmark seed; a small row of every 8 bytes comes back, 2**21 at most."""
+    size = filter_bits(seeds.count())
+    low, step = F.col("seed").bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned("seed", 36)
+    at = F.explode(F.array(*[(low + F.lit(k) * step).bitwiseAND(F.lit(size - 1)) for k in range(PROBES)]))
+    word = seeds.select(at.alias("at")).select(F.shiftright("at", 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("v"))
+    got = word.groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
+    out = np.zeros(size // 64, np.int64)
+    out[got.column("w").to_numpy()] = got.column("v").to_numpy()
+    return out.view(np.uint8)
 
 
 def overlaps(
@@ -201,7 +207,7 @@ def overlaps(
     seeds = scratch.save(_explode_seeds(items.select("item_key", "item_tokens"), "bigint").withColumnRenamed("item_id", "item_key"), "seeds")
     short = items.select(F.size("item_tokens").alias("n")).filter(f"n BETWEEN 1 AND {SHORTEST - 1}").distinct()
     lengths = tuple(sorted(r.n for r in short.collect()))  # six numbers at most
-    bloom = spark.sparkContext.broadcast(_bloom(seeds))  # BITS / 8 bytes
+    bloom = spark.sparkContext.broadcast(_bloom(seeds))  # MOST_BITS / 8 bytes at most
 
     at = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(at.alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
@@ -231,20 +237,45 @@ def overlaps(
     met = each.join(seeds, "seed").select("doc_key", "item_key", "pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"))
     diagonals = met.groupBy("doc_key", "item_key", "diagonal").agg(F.collect_set("pos").alias("hits"))  # an item's length at most
     diagonals = scratch.save(diagonals, "diagonals")
-    sized = diagonals.join(items.select("item_key", "item_id", "item_tokens"), "item_key")
-    pairs = scratch.save(sized, "candidates").join(hits.select("doc_key", "row", "doc_id", "tokens"), "doc_key")
-    pairs = pairs.select("row", "doc_id", "item_id", "tokens", "item_tokens", "diagonal", "hits", "item_key")
+    sized = diagonals.join(items.select("item_key", F.size("item_tokens").alias("n_item")), "item_key")
+    asked = sized.groupBy("doc_key").agg(F.collect_list(F.struct("item_key", "diagonal", "n_item", "hits")).alias("asks"))  # of one document
+    asked = scratch.save(asked, "asked").join(hits.select("doc_key", "row", "doc_id", "tokens"), "doc_key").select("row", "doc_id", "tokens", "asks")
+
+    def along(batches: Iterator[pa.RecordBatch]):
+        """Of each document and diagonal: the document's tokens that lie beside the item, from ``first`` on."""
+        for b in batches:
+            who, first, cut = [], [], []
+            counts = np.diff(b.column(3).offsets.to_numpy())
+            asks = b.column(3).flatten()
+            ends, sizes = asks.field("diagonal").to_pylist(), asks.field("n_item").to_pylist()
+            k = 0
+            for i, n in enumerate(counts.tolist()):
+                tokens = b.column(2)[i].values.to_numpy()
+                for j in range(k, k + n):
+                    lo = max(0, ends[j])
+                    who.append(i)
+                    first.append(lo)
+                    cut.append(tokens[lo : sizes[j] + ends[j]])
+                k += n
+            at = pa.array(who, pa.int64())
+            fields = [b.column(0).take(at), b.column(1).take(at), pa.array(first, pa.int32()), pa.array(cut, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*fields, *[asks.field(c) for c in ("item_key", "diagonal", "hits")]], names=["row", "doc_id", "first", "beside", "item_key", "diagonal", "hits"])
+
+    sides = asked.mapInArrow(along, f"row bigint, doc_id {doc_kind}, first int, beside array<bigint>, item_key bigint, diagonal int, hits array<int>")
+    sides = scratch.save(sides, "candidates")
+    pairs = sides.join(items.select("item_key", "item_id", "item_tokens"), "item_key")
+    pairs = pairs.select("row", "doc_id", "item_id", "beside", "item_tokens", "diagonal", "hits", "item_key", "first")
 
     def verify(batches: Iterator[pa.RecordBatch]):
         schema = pa.schema([("i", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("matches", pa.int32()), ("n_item", pa.int32())])
         for b in batches:
             out: list[list] = [[], [], [], [], []]
             doc_tokens, item_tokens = b.column(3), b.column(4)
-            for i, (d, hits) in enumerate(zip(b.column(5).to_pylist(), b.column(6).to_pylist(), strict=True)):
+            for i, (d, hits, lo) in enumerate(zip(b.column(5).to_pylist(), b.column(6).to_pylist(), b.column(8).to_pylist(), strict=True)):
                 doc, item = doc_tokens[i].values.to_numpy(), item_tokens[i].values.to_numpy()
-                found = best_segment(doc, item, d, hits, min(min_matches, max(1, len(item) - 2)), min_share)
+                found = best_segment(doc, item, d - lo, [h - lo for h in hits], min(min_matches, max(1, len(item) - 2)), min_share)
                 if found:
-                    for col, v in zip(out, (i, *found, len(item)), strict=True):
+                    for col, v in zip(out, (i, found[0] + lo, found[1] + lo, found[2], len(item)), strict=True):
                         col.append(v)
             at = pa.array(out[0], pa.int64())
             yield pa.RecordBatch.from_arrays(

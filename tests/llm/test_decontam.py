@@ -101,3 +101,50 @@ def test_items_without_id_and_short_items_are_found(spark):
     got = d.overlaps(df, bench).collect()
     assert sorted((r.doc_id, r.item_id or 0, r.matches, r.n_item) for r in got) == [(200, 0, 30, 30), (201, 7, 3, 3)]
     assert {200, 201, 202} & {x.doc_id for x in d.clean(df, bench).collect()} == {202}
+
+
+def best_of_all(doc, item, need):
+    """Whether any segment of any diagonal has ``need`` equal tokens and three in four equal (tokens of no diagonal with so many are passed over)."""
+    at = {}
+    for p, t in enumerate(item.tolist()):
+        at.setdefault(t, []).append(p)
+    diagonals = {}
+    for q, t in enumerate(doc.tolist()):
+        for p in at.get(t, ()):
+            diagonals.setdefault(q - p, []).append(p)
+    for places in diagonals.values():
+        for a in range(len(places)):
+            for z in range(a + need - 1, len(places)):
+                if 4 * (z - a + 1) >= 3 * (places[z] - places[a] + 1):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_overlaps_against_all_diagonals(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"/root/testdata/sf{sf}/benchmark.parquet")
+    got = d.overlaps(docs, items).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    tokens = {r.doc_id: d.token_hashes(r.text) for r in docs.collect()}
+    want = {(i, r.item_id) for r in items.collect() for item in [d.token_hashes(r.text)] for i, doc in tokens.items() if best_of_all(doc, item, min(10, max(1, len(item) - 2)))}
+    assert found <= want and len(got) == len(found)
+    print(len(want), len(found))
+    assert len(found) >= 0.99 * len(want) > 0
+    assert {i for i, _ in found} == {i for i, _ in want}
+
+
+def test_the_filter_grows_with_the_benchmark_and_loses_no_seed(spark):
+    assert d.filter_bits(0) == d.filter_bits(1000) == d.LEAST_BITS and d.filter_bits(10**6) == 1 << 25 and d.filter_bits(10**12) == d.MOST_BITS
+    seeds = np.random.default_rng(3).integers(-(2**63), 2**63, 3000)
+    bits = d._bloom(spark.createDataFrame([(int(x),) for x in seeds], "seed bigint"))
+    assert len(d._may_hold(bits, seeds)) == 3000
+    assert len(d._may_hold(bits, np.random.default_rng(4).integers(-(2**63), 2**63, 20_000))) < 20
+
+
+def test_a_hit_between_the_outer_ones_is_verified(spark):
+    """Equal at tokens 0-6, 20-34 and 53-59 of 60: neither rim is an overlap, the middle is."""
+    item = prose(4200, 60)
+    df = awkward(spark, [(200, f"{prose(4201, 60)} {changed(item, *range(7, 20), *range(35, 53))} {prose(4202, 60)}")])
+    (r,) = d.overlaps(df, spark.createDataFrame([(1, item)], "item_id bigint, text string")).collect()
+    assert (r.doc_id, r.end - r.start, r.matches) == (200, 15, 15)
