@@ -32,7 +32,7 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A one-second bar an event, in event order; one source without a symbol of its own."""
     close = _ns(F.col("ts"))
     return table(spark, sf_dir, "events").select(
-        F.lit(0).alias("record_idx"), F.col("event_id").alias("line_pos"), F.lit("events").alias("source_cache_name"),
+        F.lit(0).alias("record_idx"), F.lit(0).cast("bigint").alias("block"), F.col("event_id").alias("line_pos"), F.lit("events").alias("source_cache_name"),
         F.lit(None).cast("string").alias("record_symbol"), F.col("event_type").alias("symbol"),
         (close - 1_000_000_000).alias("bar_open_ts_ns"), close.alias("bar_close_ts_ns"),
         *[F.col("value").alias(c) for c in ("open", "high", "low", "close")], F.lit(1.0).alias("volume"),

@@ -27,6 +27,8 @@ def _parser() -> argparse.ArgumentParser:
     for name in ("sync-inputs", "build-facts", "build-depth-feature", "build-event-index", "accept", "export"):
         p = etl.add_parser(name)
         p.add_argument("--plan", required=True)
+        if name.startswith("build-"):
+            p.add_argument("--layout", choices=("parquet", "jsonl"), default="parquet")
         if name == "export":
             p.add_argument("--export-root", required=True)
     rec = areas.add_parser("recorder").add_subparsers(dest="command", required=True)
@@ -43,6 +45,10 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--config", required=True)
     run.add_argument("--once", action="store_true")
     run.add_argument("--max-cycles", type=int)
+    keep = rec.add_parser("supervise")
+    keep.add_argument("--config", required=True)
+    keep.add_argument("--restart-delay-seconds", type=float, default=5.0)
+    keep.add_argument("--max-starts", type=int)
     rec.add_parser("status").add_argument("--state-root", required=True)
     return top
 
@@ -62,11 +68,11 @@ def _etl(a: argparse.Namespace) -> dict:
         return {"exported": a.export_root}
     spark = local_session()
     if a.command == "build-facts":
-        return dataset.build_facts(spark, plan)["row_counts"]
+        return dataset.build_facts(spark, plan, a.layout)["row_counts"]
     if a.command == "build-depth-feature":
-        return {"rows": dataset.build_depth_feature(spark, plan).count()}
+        return {"rows": dataset.build_depth_feature(spark, plan, a.layout).count()}
     if a.command == "build-event-index":
-        return {"rows": dataset.build_event_index(spark, plan).count()}
+        return {"rows": dataset.build_event_index(spark, plan, a.layout).count()}
     return dataset.accept(spark, plan)
 
 
@@ -79,6 +85,8 @@ def _recorder(a: argparse.Namespace) -> dict:
     if a.command == "status":
         return recorder.status(a.state_root)
     spark = local_session()
+    if a.command == "supervise":
+        return {"starts": recorder.supervise(spark, a.config, delay_s=a.restart_delay_seconds, max_starts=a.max_starts)}
     if a.once or a.max_cycles is not None:
         return {"cycles": recorder.run_cycles(spark, a.config, 1 if a.once else a.max_cycles)}
     recorder.start(spark, a.config).awaitTermination()

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+
+def _one_of_each(df: DataFrame, key: str, order: list[str], pick) -> DataFrame:
+    """``pick`` over the order, combined before the shuffle, so a hot key is a row a task."""
+    rest = [c for c in df.columns if c != key]
+    by = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    top = df.groupBy(key).agg(pick(F.struct(*rest), by).alias("r"))
+    return top.select(key, "r.*").select(*df.columns)
 
 
 def first_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key in the order given."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return _one_of_each(df, key, order, F.min_by)
 
 
 def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The last row of each key: ``max_by`` over the order, combined before the shuffle."""
-    rest = [c for c in df.columns if c != key]
-    top = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r"))
-    return top.select(key, "r.*").select(*df.columns)
+    """The last row of each key in the order given."""
+    return _one_of_each(df, key, order, F.max_by)
 
 
 def merge(first: DataFrame, second: DataFrame, key: str, order: str) -> DataFrame:

@@ -28,10 +28,10 @@ def kline_events(klines: DataFrame) -> DataFrame:
     )
 
 
-def event_index(depth: DataFrame, klines: DataFrame, small: int = 1_000_000) -> DataFrame:
+def event_index(depth: DataFrame, klines: DataFrame) -> DataFrame:
     """Both streams by (time, source, sequence, hash), numbered from 0; depth comes first at equal times."""
     both = depth_events(depth).unionByName(kline_events(klines))
-    numbered = with_sequence(both, ORDER, "global_event_seq", small)
+    numbered = with_sequence(both, ORDER, "global_event_seq")
     rest = [c for c in both.columns if c != "ingest_seq"]
     return numbered.select(
         F.lit(schemas.VERSION).alias("schema_version"), F.lit(schemas.EVENTS).alias("dataset_format"), "global_event_seq", *rest

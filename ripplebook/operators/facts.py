@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ripplebook import schemas
 from ripplebook.functions import book, text
@@ -47,17 +46,17 @@ def market_dim(facts: DataFrame) -> DataFrame:
 
 
 def kline_reference(bars: DataFrame, latency_ms: int) -> DataFrame:
-    """Bars of all available sources: ``bars`` has record_idx, line_pos, source_cache_name, record_symbol and the raw bar.
+    """Bars of all available sources: ``bars`` has record_idx, block, line_pos, source_cache_name, record_symbol and the raw bar.
 
     The symbol is the bar's own, else its source's (neither: fails). ``ingest_seq`` is the place in (source,
-    line) order over all sources. The receive time is the close plus the latency, checked for overflow.
+    place in its file) order over all sources. The receive time is the close plus the latency, checked for overflow.
     """
     shift = latency_ms * 1_000_000
     if abs(shift) >= 1 << 63:
         raise OverflowError("reference latency")
     missing = F.raise_error(F.concat(F.lit("bar without symbol in "), F.col("source_cache_name")))
     bars = bars.withColumn("symbol", F.coalesce("symbol", "record_symbol", missing))
-    bars = with_sequence(bars, ["record_idx", "line_pos"], "ingest_seq")
+    bars = with_sequence(bars, ["record_idx", "block", "line_pos"], "ingest_seq")
     out = bars.select(
         text.key("bn_1s", F.col("symbol"), F.col("bar_close_ts_ns")).alias("primary_key"), "symbol", "bar_open_ts_ns", "bar_close_ts_ns",
         (F.col("bar_close_ts_ns") + F.lit(shift)).alias("synthetic_local_recv_ts_ns"), "ingest_seq",
@@ -82,15 +81,14 @@ def input_availability(records: DataFrame) -> DataFrame:
     return _tagged(records.select(*names), schemas.AVAILABILITY)
 
 
-def with_sequence(df: DataFrame, order: list[str], name: str, small: int = 1_000_000) -> DataFrame:
+def with_sequence(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """A dense 0-based number in the order given, which must be total for the result to be fixed.
 
-    Up to ``small`` rows by one window; beyond, rows are range-partitioned and sorted, numbered within
-    their partition, and shifted by the sizes of the partitions before (a row a partition).
+    One plan at every size: rows are written once, range-partitioned and sorted, numbered within their partition and
+    shifted by the sizes of the partitions before (a row a partition). Reading ``df`` happens once: finding the ranges
+    and dealing the rows out start at the written table.
     """
-    if df.limit(small + 1).count() <= small:
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = saved(df, "sequence-input").repartitionByRange(*order).sortWithinPartitions(*order)
     # within one task the id counts its rows, in the sorted order; the high bits are the partition
     ranged = saved(ranged.withColumn("__at", F.monotonically_increasing_id()), "sequence")
     part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))

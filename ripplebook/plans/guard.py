@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
+import posixpath
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from ripplebook import schemas
+from ripplebook.sources import files
 
 
 def invalid_events(events: DataFrame, dataset_format: str = schemas.EVENTS) -> DataFrame:
@@ -67,24 +68,22 @@ def banned_in_lines(spark: SparkSession, paths: list[str], banned: tuple[str, ..
 
 
 def banned_fields(spark: SparkSession, root: str, banned: tuple[str, ...] = schemas.BANNED_FIELDS) -> list[tuple[str, str]]:
-    """(path, field), sorted and distinct, of a dataset folder: JSON documents, JSON-lines files and Parquet schemas."""
-    lines, found, parquet = [], set(), set()
-    for folder, _, names in os.walk(root, followlinks=True):
-        for n in names:
-            path = os.path.join(folder, n)
-            if n.endswith(".jsonl"):
-                lines.append(path)
-            elif n.endswith(".json"):
-                with open(path, encoding="utf-8") as f:
-                    found |= {(path, k) for k in walk_keys(json.load(f)) if k in banned}
-                    # a schema sidecar lists its fields as values
-                if n == "_schema.json":
-                    with open(path, encoding="utf-8") as f:
-                        found |= {(path, k) for k in json.load(f).get("fields", []) if k in banned}
-            elif n.endswith(".parquet"):
-                parquet.add(folder)
-    for folder in sorted(parquet):
-        found |= {(folder, k) for k in schema_keys(spark.read.parquet(folder).schema) if k in banned}
+    """(path, field), sorted and distinct, of a dataset folder on any file system: JSON documents, JSON-lines files and
+    Parquet schemas. A root that is absent or cannot be listed raises: nothing has been looked at then."""
+    found, tables, lines = set(), {}, []
+    for path in files.listing(root):
+        if path.endswith(".jsonl"):
+            lines.append(path)
+        elif path.endswith(".json"):
+            document = files.read_json(path)
+            keys = set(walk_keys(document))
+            if posixpath.basename(path) == "_schema.json":  # a sidecar lists its fields as values
+                keys.update(document.get("fields", []))
+            found |= {(path, k) for k in keys.intersection(banned)}
+        elif path.endswith(".parquet"):
+            tables.setdefault(posixpath.dirname(path), path)
+    for folder, path in sorted(tables.items()):  # files of one folder are parts of one table
+        found |= {(folder, k) for k in schema_keys(spark.read.parquet(path).schema) if k in banned}
     if lines:
-        found |= {(r["path"], r["field"]) for r in banned_in_lines(spark, sorted(lines), banned).collect()}
+        found |= {(r["path"], r["field"]) for r in banned_in_lines(spark, lines, banned).collect()}
     return sorted(found)

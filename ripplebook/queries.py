@@ -13,6 +13,7 @@ from ripplebook.functions.hashing import row_hash
 from ripplebook.operators import assets, events, facts, features
 from ripplebook.plans.guard import invalid_events
 from ripplebook.session import configure
+from ripplebook.sources.durable import saved
 
 #: Line quantities run from 1 to 50, so fills are asked for at these instead of 1, 5 and 10.
 QUANTITIES = (10, 50, 100)
@@ -83,7 +84,7 @@ def replay_interval(spark, d):
 
 
 def resolved_events(spark, d):
-    depth, klines = _depth(spark, d), _klines(spark, d)
+    depth, klines = saved(_depth(spark, d), "depth"), saved(_klines(spark, d), "klines")  # read by the index and by both look-ups
     out = events.resolve(events.event_index(depth, klines), depth, klines)
     return out.select("global_event_seq", "payload_primary_key", "spread", "reference_close")
 

@@ -22,7 +22,7 @@ AVAILABILITY, DEPTH, EVENTS = tag("input_availability"), tag("depth_feature_stre
 MATERIALIZATION, DATASET, ACCEPTANCE = tag("materialization_report"), tag("dataset_manifest"), tag("acceptance_report")
 RECORDER_CONFIG, RECORDER_STATE, RECORDER_MANIFEST = tag("recorder_config"), tag("recorder_state"), tag("recorder_manifest")
 
-#: Where a dataset's tables and documents lie under its root.
+#: Where a dataset's tables and documents lie under its root (fixed values of the dataset format).
 TABLES = {
     "market_dim": "tables/market_dim",
     "book": "tables/polymarket_book_top10",
@@ -60,3 +60,25 @@ CACHE_RECORD = (
 REQUIRED_BOOK = ("symbol", "condition_id", "asset_id", "outcome", "local_recv_ts_ns", "ingest_seq")
 REQUIRED_KLINE = ("bar_open_ts_ns", "bar_close_ts_ns", "open", "high", "low", "close", "volume")
 REQUIRED_SETTLEMENT = ("condition_id", "asset_id", "outcome", "status")
+
+_HEAD = "schema_version int, dataset_format string"
+_IDENTITY = "symbol string, condition_id string, asset_id string, outcome string"
+_PRICES = "best_bid_price double, best_ask_price double"
+_DEPTHS = "bid_depth_top10 double, ask_depth_top10 double"
+_FILLS = ", ".join(f"{c}_{q} {t}" for t, kinds in (("double", ("buy_cost", "sell_proceeds")), ("boolean", ("fillable_buy", "fillable_sell"))) for c in kinds for q in (1, 5, 10))
+#: Columns of each table, for those stored as JSON lines.
+TABLE_COLUMNS = {
+    "market_dim": f"{_HEAD}, {_IDENTITY}, first_seen_ts_ns bigint, last_seen_ts_ns bigint, row_hash string",
+    "book": f"{_HEAD}, primary_key string, {_IDENTITY}, local_recv_ts_ns bigint, ingest_seq bigint, {_PRICES}, {_DEPTHS}, bids {_LEVELS}, asks {_LEVELS}, "
+    "raw_row_hash string, row_hash string",
+    "kline": f"{_HEAD}, primary_key string, symbol string, bar_open_ts_ns bigint, bar_close_ts_ns bigint, synthetic_local_recv_ts_ns bigint, ingest_seq bigint, "
+    "open double, high double, low double, close double, volume double, source_cache_name string, row_hash string",
+    "settlement": f"{_HEAD}, primary_key string, condition_id string, asset_id string, outcome string, status string, winner boolean, settled_ts_ns bigint, "
+    "source_cache_name string, row_hash string",
+    "availability": f"{_HEAD}, group string, name string, source_url string, symbol string, start_ts_ns bigint, end_ts_ns bigint, status string, "
+    "missing_count bigint, failure_reason string, response_hash string",
+    "depth": f"{_HEAD}, primary_key string, source_book_primary_key string, {_IDENTITY}, local_recv_ts_ns bigint, ingest_seq bigint, {_PRICES}, spread double, "
+    f"{_DEPTHS}, {_FILLS}, book_age_ms bigint, row_hash string",
+    "events": f"{_HEAD}, global_event_seq bigint, event_type string, event_ts_ns bigint, source_rank int, {_IDENTITY}, payload_table string, "
+    "payload_primary_key string, payload_row_hash string",
+}

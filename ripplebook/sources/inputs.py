@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import os
 import re
 import urllib.parse
 import urllib.request
@@ -12,7 +10,7 @@ from dataclasses import asdict, dataclass, field
 
 from ripplebook import schemas
 from ripplebook.functions.hashing import sha256_bytes
-from ripplebook.sources.tables import write_json
+from ripplebook.sources import files
 
 Fetch = Callable[[str], bytes]
 
@@ -40,18 +38,17 @@ class Plan:
     dataset_format: str = schemas.PLAN
 
     def path(self, table: str) -> str:
-        return os.path.join(self.dataset_root, schemas.TABLES[table])
+        return files.join(self.dataset_root, schemas.TABLES[table])
 
 
 def write_plan(plan: Plan) -> str:
-    path = os.path.join(plan.plan_root, "pipeline_plan.json")
-    write_json(path, asdict(plan))
+    path = files.join(plan.plan_root, "pipeline_plan.json")
+    files.write_json(path, asdict(plan))
     return path
 
 
 def load_plan(path: str) -> Plan:
-    with open(path, encoding="utf-8") as f:
-        raw = json.load(f)
+    raw = files.read_json(path)
     if raw.get("dataset_format") != schemas.PLAN:
         raise ValueError(f"unsupported plan format {raw.get('dataset_format')}, expected {schemas.PLAN}")
     sources = {k: [SourceSpec(**s) for s in raw.get(k, [])] for k in ("binance_sources", "settlement_sources")}
@@ -60,14 +57,13 @@ def load_plan(path: str) -> Plan:
 
 
 def default_fetch(url: str) -> bytes:
-    """A ``file://`` or plain path, or an http(s) GET that must succeed."""
+    """A path on any file system that Spark reaches, or an http(s) GET that must succeed."""
     if not url:
         raise ValueError("empty source url")
     if url.startswith(("http://", "https://")):
         with urllib.request.urlopen(url, timeout=30) as r:
             return r.read()
-    with open(url.removeprefix("file://"), "rb") as f:
-        return f.read()
+    return files.read_bytes(url)
 
 
 def safe_cache_name(name: str) -> str:
@@ -90,7 +86,7 @@ def sync_inputs(plan: Plan, fetch: Fetch = default_fetch) -> dict:
                 raise ValueError(f"sources of {group} share the cache file {name}")
             records.append(_sync_one(plan, fetch, group, spec, name))
     manifest = {"schema_version": schemas.VERSION, "dataset_format": schemas.CACHE_MANIFEST, "records": records}
-    write_json(os.path.join(plan.cache_root, "cache_manifest.json"), manifest)
+    files.write_json(files.join(plan.cache_root, "cache_manifest.json"), manifest)
     return manifest
 
 
@@ -102,19 +98,16 @@ def _sync_one(plan: Plan, fetch: Fetch, group: str, spec: SourceSpec, name: str)
         return record | {"status": "failed", "failure_reason": str(e)}
     if not data:
         return record | {"status": "missing", "failure_reason": "empty response"}
-    path = os.path.join(plan.cache_root, group, name)
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    with open(path, "wb") as f:
-        f.write(data)
+    path = files.join(plan.cache_root, group, name)
+    files.write_bytes(path, data)
     return record | {"status": "available", "cache_path": path, "missing_count": 0, "response_hash": sha256_bytes(data)}
 
 
 def read_cache_manifest(plan: Plan) -> dict:
-    path = os.path.join(plan.cache_root, "cache_manifest.json")
-    if not os.path.exists(path):
+    path = files.join(plan.cache_root, "cache_manifest.json")
+    if not files.exists(path):
         return {"schema_version": schemas.VERSION, "dataset_format": schemas.CACHE_MANIFEST, "records": []}
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    return files.read_json(path)
 
 
 def parse_source_arg(text: str) -> SourceSpec:

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import os
-import re
-import uuid
+import posixpath
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplebook import schemas
+from ripplebook.sources import files
 
 
 def require(df: DataFrame, columns: tuple[str, ...] | list[str], where: str = "input") -> DataFrame:
@@ -43,7 +41,7 @@ def read_raw_book(spark: SparkSession, roots: list[str]) -> DataFrame:
     parts = [
         read_jsonl(spark, root, schemas.RAW_BOOK, schemas.REQUIRED_BOOK, recursiveFileLookup="true", pathGlobFilter="{" + ",".join(schemas.BOOK_FILES) + "}")
         for root in roots
-        if _exists(spark, root)
+        if files.exists(root)
     ]
     if not parts:
         return spark.createDataFrame([], schemas.RAW_BOOK)
@@ -54,32 +52,31 @@ def read_raw_book(spark: SparkSession, roots: list[str]) -> DataFrame:
     return out.withColumns({"bids": F.coalesce("bids", empty), "asks": F.coalesce("asks", empty)})
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_values(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(value VARIANT) of each line that is not blank."""
     return spark.read.text(paths).filter(F.trim("value") != "").select(F.parse_json("value").alias("value"))
 
 
-def read_cached(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> DataFrame:
-    """Records of one cache file, a JSON array or JSON lines, with ``line_pos`` (0-based place in the file)."""
-    whole = spark.read.text(path, wholetext=True)
-    is_array = F.col("value").rlike(r"^\s*\[")
-    options = {"mode": "FAILFAST"}
-    text = F.when(is_array, F.col("value"))
-    rows = whole.select(F.posexplode(F.from_json(text, f"array<struct<{_as_struct(schema)}>>", options)).alias("line_pos", "r"))
-    lines = F.filter(F.split(F.when(~is_array, F.col("value")), "\n"), lambda x: F.trim(x) != "")
-    each = whole.select(F.posexplode(lines).alias("line_pos", "t")).select("line_pos", F.from_json("t", schema, options).alias("r"))
-    out = rows.unionByName(each).select("line_pos", "r.*")
-    return require(out, required, path)
+def read_cached(spark: SparkSession, paths: list[str], schema: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of cache files, each a JSON array or JSON lines, with ``file`` (its name), ``block`` and ``line_pos``.
 
-
-def _as_struct(ddl: str) -> str:
-    """``name type`` pairs as ``name:type`` ones."""
-    return re.sub(r"(^|, )(\w+) ", r"\1\2:", ddl)
+    (block, line_pos) is a row's place in its file: the start of the split that held it, and an order within that. Lines are
+    read by line, in as many tasks as there are splits; arrays are streamed an element at a time, a file a task. One plan
+    reads all files of a layout. File names must differ.
+    """
+    names = [posixpath.basename(p) for p in paths]
+    if len(set(names)) < len(names):
+        raise ValueError(f"cache files share a name: {sorted(n for n in set(names) if names.count(n) > 1)}")
+    arrays = [p for p in paths if files.first_byte(p) == b"["]
+    lines = [p for p in paths if p not in set(arrays)]
+    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_pos")]
+    out = spark.createDataFrame([], f"file string, block bigint, line_pos bigint, {schema}")
+    for some, multi in ((lines, "false"), (arrays, "true")):
+        if some:
+            reader = spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", multi)
+            one = reader.json(some)
+            out = out.unionByName(one.select(*place, *one.columns))
+    return require(out, required, "cache")
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -87,14 +84,26 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """JSON lines with keys in alphabetical order, nulls written out, and a ``_schema.json`` beside them (local paths)."""
-    names = sorted(df.columns)
+def field_names(df: DataFrame) -> list[str]:
+    """The columns as a table's sidecar lists them."""
+    return sorted(df.columns)
+
+
+def write_jsonl(df: DataFrame, path: str) -> dict:
+    """JSON lines as ``part-00000.jsonl`` and so on, in the frame's order, keys in alphabetical order, nulls written out, and a
+    ``_schema.json`` beside them; replaces the whole table. Returns the sidecar."""
+    names = field_names(df)
     df.select(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
-    for k, name in enumerate(sorted(n for n in os.listdir(path) if n.startswith("part-"))):
-        os.rename(os.path.join(path, name), os.path.join(path, f"part-{k:05d}.jsonl"))
-    parts = sorted(n for n in os.listdir(path) if n.startswith("part-"))
-    write_json(os.path.join(path, "_schema.json"), {"fields": names, "part_files": parts, "physical_format": "jsonl"})
+    fs, _, _ = files._at(path)
+    parts = []
+    for old in (p for p in files.listing(path) if posixpath.basename(p).startswith("part-")):  # Spark numbers them in order
+        new = f"part-{len(parts):05d}.jsonl"
+        if not fs.rename(files._at(old)[1], files._at(files.join(path, new))[1]):
+            raise OSError(f"cannot rename {old}")
+        parts.append(new)
+    sidecar = {"fields": names, "part_files": parts, "physical_format": "jsonl"}
+    files.write_json(files.join(path, "_schema.json"), sidecar)
+    return sidecar
 
 
 def read_jsonl_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -102,12 +111,9 @@ def read_jsonl_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return read_jsonl(spark, path, schema, pathGlobFilter="part-*.jsonl")
 
 
-def write_json(path: str, value) -> None:
-    """Indented JSON on the driver, moved into place whole."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    temporary = f"{path}.{uuid.uuid4().hex}"
-    with open(temporary, "w", encoding="utf-8") as f:
-        json.dump(value, f, indent=2)
-    os.replace(temporary, path)
-
-
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A dataset's table in either physical format: JSON lines where a ``_schema.json`` says so, else Parquet."""
+    sidecar = files.join(path, "_schema.json")
+    if files.exists(sidecar) and files.read_json(sidecar).get("physical_format") == "jsonl":
+        return read_jsonl_table(spark, path, schema)
+    return spark.read.parquet(path)

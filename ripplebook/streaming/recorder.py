@@ -2,7 +2,8 @@
 
 A micro-batch is one cycle: choose assets, poll each book, emit the rows. A poll cannot be repeated after
 a crash, so the reader spools every cycle's rows and state to disk under its number before handing them
-out; a batch that is asked for again comes from the spool, and sequence numbers go on without gaps.
+out; a batch that is asked for again comes from the spool, and sequence numbers go on without gaps. Spool, state and
+configuration lie on the driver's file system (the reader's process has no JVM); rows go to any that Spark reaches.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import importlib.util
 import json
 import os
 import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import asdict
 
@@ -20,7 +22,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from ripplebook import schemas
 from ripplebook.functions.hashing import existing_hash
-from ripplebook.sources.tables import write_json
+from ripplebook.sources import files
 from ripplebook.streaming.discovery import Asset, Get, RecorderConfig, discover, fetch_book, merge
 
 FORMAT = "order_book_poll"
@@ -40,40 +42,59 @@ def due(config: RecorderConfig, state: dict) -> bool:
     return config.discovery.enabled and (not state["last_assets"] or every == 0 or state["cycle_count"] % every == 0)
 
 
+def _write_local(path: str, value) -> None:
+    """Indented JSON, moved into place whole."""
+    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+    temporary = f"{path}.{uuid.uuid4().hex}"
+    with open(temporary, "w", encoding="utf-8") as f:
+        json.dump(value, f, indent=2)
+    os.replace(temporary, path)
+
+
+def _read_local(path: str):
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def refreshed(config: RecorderConfig, get: Get, known: list[dict], now_s: int) -> tuple[list[dict], str | None]:
+    """(the asset list after a discovery, what went wrong). With nothing known a failure is raised."""
+    try:
+        return [asdict(a) for a in merge(config.explicit_assets, discover(config, get, now_s))], None
+    except Exception as e:
+        if not known:
+            raise
+        return known, f"kept {len(known)} known assets, as discovery failed: {e}"
+
+
+def poll(config: RecorderConfig, get: Get, assets: list[Asset], first_seq: int, clock) -> tuple[list[dict], dict[str, str]]:
+    """(a row an asset that answers, numbered from ``first_seq``; what went wrong by asset id). One failure leaves the others."""
+    rows, wrong = [], {}
+    for a in assets:
+        try:
+            rows.append(fetch_book(config, get, a, first_seq + len(rows), clock))
+        except Exception as e:
+            wrong[a.asset_id] = f"{a.symbol} {a.asset_id}: {e}"
+    return rows, wrong
+
+
 def cycle(config: RecorderConfig, get: Get, state: dict, clock=time.time_ns) -> tuple[list[dict], list[str], dict, int]:
     """(rows, errors, next state, assets polled). A failed discovery goes on with the last assets if there are any;
     assets whose book fails are left out until the next discovery."""
-    state = dict(state, last_assets=list(state["last_assets"]), last_cycle_start_ts_ns=clock())
-    if not config.discovery.enabled:
-        assets = list(config.explicit_assets)
-    else:
-        if due(config, state):
-            try:
-                assets = merge(config.explicit_assets, discover(config, get, clock() // 1_000_000_000))
-                state["last_assets"] = [asdict(a) for a in assets]
-            except Exception as e:
-                if not state["last_assets"]:
-                    raise
-                state["total_errors"] += 1
-                state["last_error"] = f"discovery failed, reused last assets: {e}"
-        assets = [Asset(**a) for a in state["last_assets"]]
-    assets = assets[: config.max_assets_per_cycle]
-    rows, errors, failed = [], [], set()
-    for a in assets:
-        try:
-            rows.append(fetch_book(config, get, a, state["next_ingest_seq"], clock))
-            state["next_ingest_seq"] += 1
-        except Exception as e:  # one asset's failure leaves the others
-            errors.append(f"{a.symbol} {a.asset_id}: {e}")
-            failed.add(a.asset_id)
-    if config.discovery.enabled:
-        state["last_assets"] = [a for a in state["last_assets"] if a["asset_id"] not in failed]
-    state["cycle_count"] += 1
-    state["total_rows"] += len(rows)
-    state["total_errors"] += len(errors)
-    state["last_error"] = errors[-1] if errors else state["last_error"]
-    state["last_cycle_end_ts_ns"] = clock()
-    return rows, errors, state, len(assets)
+    began, known, complaint = clock(), state["last_assets"], None
+    if due(config, state):
+        known, complaint = refreshed(config, get, known, began // 1_000_000_000)
+    listed = [Asset(**a) for a in known] if config.discovery.enabled else list(config.explicit_assets)
+    polled = listed[: config.max_assets_per_cycle]
+    rows, wrong = poll(config, get, polled, state["next_ingest_seq"], clock)
+    errors = list(wrong.values())
+    after = state | {
+        "last_assets": [a for a in known if a["asset_id"] not in wrong] if config.discovery.enabled else known,
+        "next_ingest_seq": state["next_ingest_seq"] + len(rows), "cycle_count": state["cycle_count"] + 1,
+        "total_rows": state["total_rows"] + len(rows), "total_errors": state["total_errors"] + len(errors) + (complaint is not None),
+        "last_error": ([state["last_error"]] + [complaint] * (complaint is not None) + errors)[-1],
+        "last_cycle_start_ts_ns": began, "last_cycle_end_ts_ns": clock(),
+    }
+    return rows, errors, after, len(polled)
 
 
 def http_get(url: str) -> bytes:
@@ -97,8 +118,7 @@ def _load(name: str) -> Get:
 
 class PollReader(SimpleDataSourceStreamReader):
     def __init__(self, options: dict):
-        with open(options["config"], encoding="utf-8") as f:
-            self.config = RecorderConfig.from_json(json.load(f))
+        self.config = load_config(options["config"])
         self.get = _load(options.get("fetcher", "ripplebook.streaming.recorder:http_get"))
         self.spool = os.path.join(self.config.state_root, "spool")
 
@@ -109,15 +129,14 @@ class PollReader(SimpleDataSourceStreamReader):
         return os.path.join(self.spool, f"{number:012d}.json")
 
     def _spooled(self, number: int) -> dict:
-        with open(self._path(number), encoding="utf-8") as f:
-            return json.load(f)
+        return _read_local(self._path(number))
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         number = start["cycle"]
         if not os.path.exists(self._path(number)):
             before = self._spooled(number - 1)["state"] if number else empty_state()
             rows, errors, state, polled = cycle(self.config, self.get, before)
-            write_json(self._path(number), {"rows": rows, "errors": errors, "state": state, "assets_recorded": polled})
+            _write_local(self._path(number), {"rows": rows, "errors": errors, "state": state, "assets_recorded": polled})
         return self._rows(number), {"cycle": number + 1}
 
     def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
@@ -156,7 +175,7 @@ class PollSource(DataSource):
 def output_path(raw_root: str, start_ts_ns: int, number: int) -> str:
     """A file of its own for each cycle (streams read new files, not appended lines), by the hour of its start."""
     hour = start_ts_ns // 1_000_000_000 // 3600
-    return os.path.join(raw_root, "polymarket_book_top10", f"hour_bucket={hour}", f"cycle={number}", "polymarket_book_top10.jsonl")
+    return files.join(raw_root, "polymarket_book_top10", f"hour_bucket={hour}", f"cycle={number}", "polymarket_book_top10.jsonl")
 
 
 def _write_cycle(config: RecorderConfig, batch: DataFrame) -> None:
@@ -168,18 +187,15 @@ def _write_cycle(config: RecorderConfig, batch: DataFrame) -> None:
     last = None
     for (number, start), rows in by.items():
         last = output_path(config.raw_root, start, number)
-        os.makedirs(os.path.dirname(last), exist_ok=True)
-        with open(last + ".part", "w", encoding="utf-8") as f:
-            f.writelines(json.dumps(x, separators=(",", ":")) + "\n" for x in rows)
-        os.replace(last + ".part", last)
+        files.write_bytes(last, "".join(json.dumps(x, separators=(",", ":")) + "\n" for x in rows).encode())
     done = latest(config)
     if done:
-        write_json(state_path(config), done["state"])
-        write_json(
+        _write_local(state_path(config), done["state"])
+        _write_local(
             os.path.join(config.state_root, "recorder_manifest.json"),
             {
                 "schema_version": schemas.VERSION, "dataset_format": schemas.RECORDER_MANIFEST, "raw_root": config.raw_root, "state_root": config.state_root,
-                "state_hash": existing_hash(state_path(config)), "last_output_path": last, "last_output_hash": existing_hash(last) if last else None,
+                "state_hash": existing_hash(f"file://{os.path.abspath(state_path(config))}"), "last_output_path": last, "last_output_hash": existing_hash(last) if last else None,
                 "last_cycle_rows": len(done["rows"]), "last_cycle_errors": len(done["errors"]),
             },
         )
@@ -195,25 +211,20 @@ def latest(config: RecorderConfig) -> dict | None:
     names = sorted(n for n in os.listdir(spool) if n.endswith(".json")) if os.path.isdir(spool) else []
     if not names:
         return None
-    with open(os.path.join(spool, names[-1]), encoding="utf-8") as f:
-        return json.load(f)
+    return _read_local(os.path.join(spool, names[-1]))
 
 
 def write_config(config: RecorderConfig, path: str) -> None:
-    write_json(path, config.to_json())
+    _write_local(path, config.to_json())
 
 
 def load_config(path: str) -> RecorderConfig:
-    with open(path, encoding="utf-8") as f:
-        return RecorderConfig.from_json(json.load(f))
+    return RecorderConfig.from_json(_read_local(path))
 
 
 def status(state_root: str) -> dict:
     path = os.path.join(state_root, "recorder_state.json")
-    if not os.path.exists(path):
-        return empty_state()
-    with open(path, encoding="utf-8") as f:
-        return json.load(f)
+    return _read_local(path) if os.path.exists(path) else empty_state()
 
 
 def stream(spark: SparkSession, config_path: str, fetcher: str | None = None) -> DataFrame:
@@ -249,3 +260,19 @@ def run_cycles(spark: SparkSession, config_path: str, cycles: int, fetcher: str
         out.append(run_once(spark, config_path, fetcher))
         time.sleep(load_config(config_path).poll_interval_ms / 1000)
     return out
+
+
+def supervise(spark: SparkSession, config_path: str, fetcher: str | None = None, *, delay_s: float = 5.0, max_starts: int | None = None, say=print) -> int:
+    """Keeps a recording going: starts it anew, ``delay_s`` after it has ended for whatever reason, from where its checkpoint and
+    spool left off. Returns how often it was started, once that is ``max_starts``."""
+    starts = 0
+    while max_starts is None or starts < max_starts:
+        if starts:
+            time.sleep(delay_s)
+        starts += 1
+        try:
+            start(spark, config_path, fetcher).awaitTermination()
+            say(f"recorder, start {starts}: ended")
+        except Exception as e:  # a query's failure ends this start only
+            say(f"recorder, start {starts}: failed: {str(e).splitlines()[0] if str(e) else type(e).__name__}")
+    return starts

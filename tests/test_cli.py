@@ -5,12 +5,12 @@ import json
 import pytest
 
 from ripplebook import cli
-from tests.test_dataset import BOOK, KLINE, LABEL, put
+from tests.test_dataset import BARS, BOOKS, LABELS, put
 
 
 def test_etl_commands(spark, tmp_path, capsys):
-    put(tmp_path / "raw/pm_book_top10.jsonl", BOOK)
-    k, s = put(tmp_path / "k.jsonl", KLINE), put(tmp_path / "s.jsonl", LABEL | {"status": "settled"})
+    put(tmp_path / "raw/pm_book_top10.jsonl", BOOKS[0])
+    k, s = put(tmp_path / "k.jsonl", BARS[0]), put(tmp_path / "s.jsonl", LABELS[0] | {"status": "settled"})
     roots = [x for n in ("plan", "cache", "dataset") for x in (f"--{n}-root", str(tmp_path / n))]
     plan = cli.main(["etl", "plan", "--raw-root", str(tmp_path / "raw"), *roots, "--binance-source", f"name=k,url={k}", "--settlement-source", f"name=s,url={s}"])["plan"]
     step = lambda name, *more: cli.main(["etl", name, "--plan", plan, *more])
