@@ -170,10 +170,12 @@ CHAT_CONVERSATIONS = 2000
 
 
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation as a raw transcript, its turns and roles recovered and rendered."""
+    """Every conversation as a raw transcript, its turns and roles recovered and rendered; learns from conversations of
+    crc32(conv_id) mod 5 other than 0."""
     conversations = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    model = chat.learn(chat.training_sample(conversations, CHAT_CONVERSATIONS))
-    return chat.parse_transcripts(chat.raw_parts(conversations).drop("role"), model)
+    model = chat.learn(chat.training_sample(conversations.filter(crc_mod(F.col("conv_id"), 5) != 0), CHAT_CONVERSATIONS))
+    held = F.coalesce(crc_mod(F.col("conv_id"), 5) == 0, F.lit(False))
+    return chat.parse_transcripts(chat.raw_parts(conversations).drop("role"), model).withColumn("held_out", held)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
