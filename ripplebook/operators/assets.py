@@ -42,3 +42,14 @@ def take(assets: DataFrame, order: str, n: int) -> DataFrame:
 def yes_no_rows(markets: DataFrame) -> DataFrame:
     """A YES and a NO row of each market (symbol, condition_id, yes_asset_id, no_asset_id)."""
     return markets.select("symbol", "condition_id", F.expr("stack(2, 'YES', yes_asset_id, 'NO', no_asset_id) as (outcome, asset_id)"))
+
+
+def zip_outcomes(markets: DataFrame, names: str, tokens: str) -> DataFrame:
+    """A row a token (``pos``, ``token``, ``outcome``) beside the other columns: the name at its place, or else ``outcome-<place>``.
+
+    Names without a token are left out.
+    """
+    rest = [c for c in markets.columns if c not in (names, tokens)]
+    each = markets.select(*rest, F.col(names).alias("__names"), F.posexplode(tokens).alias("pos", "token"))
+    outcome = F.coalesce(F.get("__names", F.col("pos")), F.concat(F.lit("outcome-"), F.col("pos").cast("string")))
+    return each.select(*rest, "pos", "token", outcome.alias("outcome"))

@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripplebook import adapters
+from ripplebook import adapters, schemas
 from ripplebook.functions import book, json_fields, research, text
-from ripplebook.functions.hashing import row_hash
+from ripplebook.functions.hashing import digest_folds, hash_path, row_hash
 from ripplebook.operators import assets, events, facts, features
-from ripplebook.plans.guard import invalid_events
+from ripplebook.plans import dataset
+from ripplebook.plans.guard import banned_in_lines, invalid_events
+from ripplebook.plans.guard import missing_references as missing
 from ripplebook.session import configure
+from ripplebook.sources import durable, files, tables
 from ripplebook.sources.durable import saved
 
 #: Line quantities run from 1 to 50, so fills are asked for at these instead of 1, 5 and 10.
@@ -100,9 +103,10 @@ def edge_trigger_pnl(spark, d):
 
 
 def top_n_levels(spark, d):
+    """The best two levels of either side."""
     b = adapters.books(spark, d)
-    levels = b.select("asset_id", F.posexplode(book.top_levels(F.col("asks"), 2, True)).alias("pos", "x"))
-    return levels.select("asset_id", "pos", "x.price", "x.size")
+    side = lambda name, ascending: b.select("asset_id", F.lit(name).alias("side"), F.posexplode(book.top_levels(F.col(name), 2, ascending)).alias("pos", "x"))
+    return side("asks", True).unionByName(side("bids", False)).select("asset_id", "side", "pos", "x.price", "x.size")
 
 
 def valid_level_count(spark, d):
@@ -194,6 +198,107 @@ def input_availability(spark, d):
     return facts.input_availability(records).groupBy("group", "status").agg(F.count("*").alias("n"), F.sum("missing_count").alias("missing"))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder among the intermediate tables; it goes with them when the driver ends."""
+    return durable.folder(spark, name)
+
+
+def cached_rows(spark, d):
+    """Suppliers as cache files of JSON lines, in order, and nations as one that holds a JSON array: read back beside their
+    records, and numbered by record and place."""
+    root = _scratch(spark, "cache")
+    suppliers = adapters.table(spark, d, "supplier").orderBy("s_suppkey").select(F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))).alias("value"))
+    suppliers.write.text(files.join(root, "lines"))
+    nations = adapters.table(spark, d, "nation").orderBy("n_nationkey").select("n_nationkey", "n_name").collect()  # the 25 rows of a dimension
+    files.write_json(files.join(root, "nations.json"), [{"id": r[0], "name": r[1]} for r in nations])
+    paths = [p for p in files.listing(files.join(root, "lines")) if "/part-" in p]
+    records = [{"cache_path": p, "name": "suppliers", "symbol": "S"} for p in paths] + [{"cache_path": files.join(root, "nations.json"), "name": "nations", "symbol": None}]
+    rows = dataset.cached_rows(spark, records, "id bigint, name string", ("id", "name"))
+    numbered = facts.with_sequence(rows, ["record_idx", "block", "line_pos"], "seq")
+    return numbered.select("seq", "id", "name", F.col("source_cache_name").alias("source"), F.col("record_symbol").alias("symbol"))
+
+
+def json_times(spark, d):
+    """Times of events as whole milliseconds, nanoseconds, digits as text, ISO text, and behind a blank or a null."""
+    ms, n = F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id") % 6
+    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    forms = [text('{"t":', ms, "}"), text('{"t":', ms, "000000}"), text('{"t":"', ms, '"}'), text('{"t":"', iso, '"}'), text('{"t":" ","u":', ms, "}"), text('{"t":null,"u":"', iso, '"}')]
+    record = F.element_at(F.array(*forms), (n + 1).cast("int"))
+    return adapters.table(spark, d, "events").select("event_id", json_fields.timestamp_ms(F.parse_json(record), "t", "u").alias("ms"))
+
+
+def json_flags(spark, d):
+    """Booleans, their names as text, other text, and a second field to fall back on."""
+    forms = ['{"a":true}', '{"a":false}', '{"a":"true"}', '{"a":"false"}', '{"a":"yes"}', '{"a":1,"b":true}', '{"b":"false"}']
+    record = F.element_at(F.array(*map(F.lit, forms)), (F.col("event_id") % len(forms) + 1).cast("int"))
+    return adapters.table(spark, d, "events").select("event_id", json_fields.bool_field(F.parse_json(record), "a", "b").alias("flag"))
+
+
+def json_strings(spark, d):
+    """Arrays of strings, plain, mixed, as JSON text, as JSON text that is not of strings only, and none at all."""
+    brand, kind = F.col("p_brand"), F.col("p_type")
+    forms = [
+        F.to_json(F.struct(F.array(brand, kind).alias("v"))), F.concat(F.lit('{"v":[1,"'), brand, F.lit('",null,{"x":"y"}]}')),
+        F.to_json(F.struct(F.to_json(F.array(brand, kind)).alias("v"))), F.lit('{"v":"[1,\\"x\\"]"}'), F.lit('{"w":[]}'),
+    ]
+    record = F.element_at(F.array(*forms), (F.col("p_size") % len(forms) + 1).cast("int"))
+    found = json_fields.string_array(json_fields.field(F.parse_json(record), "v"))
+    return adapters.table(spark, d, "part").select("p_partkey", F.size(found).alias("n"), F.array_join(found, "|").alias("joined"))
+
+
+def window_floors(spark, d):
+    start = text.window_floor(F.unix_seconds(F.col("ts").cast("timestamp")))
+    return adapters.table(spark, d, "events").select(start.alias("window_start_s")).groupBy("window_start_s").agg(F.count("*").alias("n"))
+
+
+def missing_references(spark, d):
+    """Of cache records, those of the bars' group that are not available."""
+    o = adapters.table(spark, d, "orders")
+    records = o.select(
+        F.when(F.col("o_orderkey") % 2 == 0, schemas.KLINE_GROUP).otherwise(schemas.SETTLEMENT_GROUP).alias("group"), F.col("o_orderkey").cast("string").alias("name"),
+        F.when(F.col("o_orderstatus") == "F", "available").when(F.col("o_orderstatus") == "O", "missing").otherwise("failed").alias("status"),
+    )
+    return missing(records).select("name", "status")
+
+
+def zipped_outcomes(spark, d):
+    """Three tokens a part beside none to five outcome names."""
+    names = F.transform(F.sequence(F.lit(1), F.col("p_size") % 6), lambda k: F.concat(F.lit("name"), k.cast("string")))
+    names = F.when(F.col("p_size") % 6 > 0, names).otherwise(F.array().cast("array<string>"))
+    tokens = F.transform(F.array(*[F.lit(k) for k in range(3)]), lambda k: F.concat(F.col("p_partkey").cast("string"), F.lit("-"), k.cast("string")))
+    return assets.zip_outcomes(adapters.table(spark, d, "part").select("p_partkey", names.alias("names"), tokens.alias("tokens")), "names", "tokens")
+
+
+def field_names(spark, d):
+    names = tables.field_names(adapters.table(spark, d, "lineitem"))
+    return spark.createDataFrame(list(enumerate(names)), "pos int, field string")
+
+
+def table_digests(spark, d):
+    """The folds of a table's digest, which do not depend on the order of rows."""
+    s = adapters.settlement_rows(spark, d).select("condition_id", "asset_id", "outcome", "status", "settled_ts_ns")
+    return digest_folds(s)
+
+
+def folder_digest(spark, d):
+    """The hash of a folder of small files: a document a region, in a folder a first letter."""
+    root = _scratch(spark, "documents")
+    for r in adapters.table(spark, d, "region").select("r_name").collect():  # the five rows of a dimension
+        files.write_bytes(files.join(root, r.r_name[0], f"{r.r_name}.txt"), f"region {r.r_name}\n".encode())
+    return spark.createDataFrame([(hash_path(root),)], "folder_hash string")
+
+
+def banned_keys(spark, d):
+    """JSON lines in a folder an event type, some with a banned key deep inside: the keys found by folder."""
+    root, n = files.join(_scratch(spark, "lines"), "t"), F.col("event_id")
+    inner = F.when((n % 7 == 0) & (F.col("event_type") != "view"), '[{"x":{"edge":1}}]').when(n % 11 == 3, '{"pnl":[{"edges":2}]}').otherwise('"edge"')
+    lines = adapters.table(spark, d, "events").select("event_type", F.concat(F.lit('{"id":'), n.cast("string"), F.lit(',"in":'), inner, F.lit("}")).alias("value"))
+    lines.write.partitionBy("event_type").text(root)
+    found = banned_in_lines(spark, [root])
+    return found.select(F.regexp_extract("path", "event_type=([^/]*)/", 1).alias("event_type"), "field").distinct()
+
+
 _BOOK = """
 b AS (SELECT l_orderkey, list({price: l_extendedprice / l_quantity, size: CAST(l_quantity AS DOUBLE)} ORDER BY l_extendedprice / l_quantity, l_quantity) FILTER (l_linestatus = 'F') AS bids,
              list({price: l_extendedprice / l_quantity, size: CAST(l_quantity AS DOUBLE)} ORDER BY l_extendedprice / l_quantity, l_quantity) FILTER (l_linestatus = 'O') AS asks
@@ -244,7 +349,8 @@ ORACLE_SQL: dict[str, str] = {
     "replay_interval": f"WITH {_BOOK}{_EVENTS} SELECT global_event_seq, event_ts_ns, payload_primary_key FROM n WHERE event_ts_ns BETWEEN {REPLAY.start_ts_ns} AND {REPLAY.end_ts_ns}",
     "resolved_events": f"WITH {_BOOK}{_EVENTS}{_DEPTH} SELECT global_event_seq, payload_primary_key, best_ask_price - best_bid_price AS spread, value AS reference_close FROM n LEFT JOIN f ON payload_primary_key = 'pm_depth_feature:' || primary_key LEFT JOIN events e ON payload_primary_key = 'bn_1s:' || e.event_type || ':' || epoch_ns(ts)",
     "edge_trigger_pnl": "WITH p AS (SELECT *, l_extendedprice / l_quantity AS fair, l_extendedprice * (1 - l_discount) / l_quantity AS price FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, fair - price AS buy_edge, price - fair AS sell_edge, fair - price >= 50.0 AS fires, l_extendedprice + l_tax - l_discount AS pnl FROM p",
-    "top_n_levels": f"WITH {_BOOK} SELECT asset_id, pos, asks[pos + 1].price AS price, asks[pos + 1].size AS size FROM (SELECT asset_id, asks, CAST(unnest(range(least(len(asks), 2))) AS INTEGER) AS pos FROM s)",
+    "top_n_levels": f"""WITH {_BOOK}, t AS (SELECT asset_id, 'asks' AS side, asks AS levels FROM s UNION ALL SELECT asset_id, 'bids', {_SELL_LEVELS} FROM s)
+SELECT asset_id, side, pos, levels[pos + 1].price AS price, levels[pos + 1].size AS size FROM (SELECT *, CAST(unnest(range(least(len(levels), 2))) AS INTEGER) AS pos FROM t)""",
     "valid_level_count": f"WITH {_BOOK} SELECT asset_id, CAST(len(bids) AS INTEGER) AS bids, CAST(len(asks) AS INTEGER) AS asks FROM s",
     "dedup_first_wins": f"SELECT * FROM ({_ASSETS}) QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY pos) = 1",
     "dedup_last_wins": f"SELECT * FROM ({_ASSETS}) QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY pos DESC) = 1",
@@ -262,6 +368,21 @@ ORACLE_SQL: dict[str, str] = {
     "input_availability": "SELECT o_orderpriority AS \"group\", CASE WHEN o_orderstatus = 'F' THEN 'available' ELSE 'failed' END AS status, count(*) AS n, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END) AS BIGINT) AS missing FROM orders GROUP BY 1, 2",
 }
 
+_JSON_ROW = """'{"asset_id":"' || o_orderkey || '","condition_id":"' || o_custkey || '","outcome":"' || o_orderstatus || '","settled_ts_ns":' || epoch_ns(o_orderdate) || ',"status":"' || CASE o_orderstatus WHEN 'F' THEN 'settled' WHEN 'O' THEN 'unsettled' ELSE 'unknown' END || '"}'"""
+ORACLE_SQL |= {
+    "cached_rows": "SELECT row_number() OVER (ORDER BY k, id) - 1 AS seq, id, name, source, symbol FROM (SELECT 0 AS k, s_suppkey AS id, s_name AS name, 'suppliers' AS source, 'S' AS symbol FROM supplier UNION ALL SELECT 1, n_nationkey, n_name, 'nations', NULL FROM nation)",
+    "json_times": "SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events",
+    "json_flags": "SELECT event_id, CASE event_id % 7 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false WHEN 5 THEN true WHEN 6 THEN false END AS flag FROM events",
+    "json_strings": "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END::INTEGER AS n, CASE p_size % 5 WHEN 0 THEN p_brand || '|' || p_type WHEN 1 THEN p_brand WHEN 2 THEN p_brand || '|' || p_type ELSE '' END AS joined FROM part",
+    "window_floors": "SELECT CAST(epoch_us(ts) // 300000000 * 300 AS BIGINT) AS window_start_s, count(*) AS n FROM events GROUP BY 1",
+    "missing_references": "SELECT CAST(o_orderkey AS VARCHAR) AS name, CASE o_orderstatus WHEN 'O' THEN 'missing' ELSE 'failed' END AS status FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus <> 'F'",
+    "zipped_outcomes": "SELECT p_partkey, CAST(pos AS INTEGER) AS pos, p_partkey || '-' || pos AS token, CASE WHEN pos < p_size % 6 THEN 'name' || (pos + 1) ELSE 'outcome-' || pos END AS outcome FROM part, range(3) r(pos)",
+    "field_names": "SELECT CAST(row_number() OVER (ORDER BY column_name) - 1 AS INTEGER) AS pos, column_name AS field FROM (DESCRIBE lineitem)",
+    "table_digests": f"SELECT count(*) AS row_count, bit_xor(h) AS xor60, CAST(sum(h) AS VARCHAR) AS sum60 FROM (SELECT CAST('0x' || substr(sha256({_JSON_ROW}), 1, 15) AS BIGINT) AS h FROM orders)",
+    "folder_digest": "SELECT sha256(string_agg(r_name[1] || '/' || r_name || '.txt' || chr(0) || 'region ' || r_name || chr(10) || chr(0), '' ORDER BY r_name[1] || '/' || r_name || '.txt')) AS folder_hash FROM region",
+    "banned_keys": "SELECT DISTINCT event_type, CASE WHEN event_id % 7 = 0 AND event_type <> 'view' THEN 'edge' ELSE 'pnl' END AS field FROM events WHERE (event_id % 7 = 0 AND event_type <> 'view') OR event_id % 11 = 3",
+}
+
 _HERE = globals()
 
 

@@ -40,18 +40,21 @@ def _delete(tables: list[tuple[SparkSession, str]]) -> None:
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and reread, so that later stages never compute it again.
-
-    The table is deleted at the end of the innermost :func:`scope`, or else when the driver ends.
-    """
-    spark = df.sparkSession
+def folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what lies there is deleted at the end of the innermost :func:`scope`, or else when
+    the driver ends."""
     path = f"{shared_base(spark)}/{name}-{uuid.uuid4().hex}"
     if not _kept and not _scopes:
         atexit.register(_delete, _kept)
     (_scopes[-1] if _scopes else _kept).append((spark, path))
+    return path
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet and reread, so that later stages never compute it again; see :func:`folder` for its end."""
+    path = folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextlib.contextmanager

@@ -39,7 +39,7 @@ def join(root: str, *parts: str) -> str:
 def qualified(path: str) -> str:
     """The path with scheme and authority, ``.`` and ``..`` resolved."""
     fs, p, _ = _at(path)
-    whole = fs.makeQualified(p).toUri().normalize().toString()
+    whole = fs.makeQualified(p).toString()
     if whole.startswith("file:"):  # links of local folders are followed, so that two names of one folder agree
         import os
 
