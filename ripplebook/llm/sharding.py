@@ -32,7 +32,7 @@ def _pick(values: list[int], index: Column) -> Column:
 
 
 def propagate(nodes: DataFrame, shards: int, quotas: list[int], rounds: int, scratch: Scratch) -> DataFrame:
-    """``nodes`` (row, hub, shard; linked documents only) after at most ``rounds`` rounds of moves.
+    """``nodes`` (row, node, hub, shard; linked documents only) after at most ``rounds`` rounds of moves.
 
     No shard's linked documents come to exceed its quota through moves into it.
     """
@@ -54,17 +54,17 @@ def propagate(nodes: DataFrame, shards: int, quotas: list[int], rounds: int, scr
         elected = scratch.save(elected, "elected")
         if elected.isEmpty():
             break
-        joined = state.join(elected, "hub", "left").withColumn("pri", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(PRIORITIES)))
-        turn = F.pmod(F.xxhash64("row", F.lit(-1 - number)), F.size("targets")).cast("int")
+        joined = state.join(elected, "hub", "left").withColumn("pri", F.pmod(F.xxhash64("node", F.lit(number)), F.lit(PRIORITIES)))
+        turn = F.pmod(F.xxhash64("node", F.lit(-1 - number)), F.size("targets")).cast("int")
         stays = F.array_contains("targets", F.col("shard"))
         joined = joined.withColumn("to", F.when(~stays, F.get("targets", turn)))
-        joined = scratch.save(joined.select("row", "hub", "shard", "to", "to_n", "pri"), "asked")
+        joined = scratch.save(joined.select("row", "node", "hub", "shard", "to", "to_n", "pri"), "asked")
         # in a shard that is full a hub's documents stay if they are no fewer than in the elected ones
         here = scratch.save(votes.select("hub", "shard", F.col("n").alias("here_n"), "open"), "votes")
         asked = joined.join(here, ["hub", "shard"]).withColumn(
             "asks", F.col("to").isNotNull() & (F.col("open") | (F.col("here_n") < F.col("to_n")))
         )
-        asked = scratch.save(asked.select("row", "hub", "shard", "to", "pri", F.coalesce("asks", F.lit(False)).alias("asks")), "asking")
+        asked = scratch.save(asked.select("row", "node", "hub", "shard", "to", "pri", F.coalesce("asks", F.lit(False)).alias("asks")), "asking")
         demand = {}
         for r in asked.filter("asks").groupBy("to", "pri").agg(F.count("*").alias("n")).collect():  # shards * PRIORITIES rows at most
             demand[r["to"], r["pri"]] = r["n"]
@@ -78,7 +78,7 @@ def propagate(nodes: DataFrame, shards: int, quotas: list[int], rounds: int, scr
                 limit += 1
             admitted.append(limit)
         moves = F.col("asks") & (F.col("pri") < _pick(admitted, F.col("to")))
-        after = scratch.save(asked.select("row", "hub", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")), "state")
+        after = scratch.save(asked.select("row", "node", "hub", F.when(moves, F.col("to")).otherwise(F.col("shard")).alias("shard")), "state")
         scratch.drop(state, elected, joined, here, asked)
         state = after
         if not any(admitted):
@@ -87,19 +87,19 @@ def propagate(nodes: DataFrame, shards: int, quotas: list[int], rounds: int, scr
 
 
 def _numbered(placed: DataFrame, shards: int, scratch: Scratch) -> tuple[DataFrame, list[int]]:
-    """``placed`` (row, hub, linked, shard) with ``at``: position in the shard, linked documents first.
+    """``placed`` (row, node, linked, shard) with ``at``: position in the shard, linked documents first.
 
     Numbered in buckets of about BUCKET_ROWS: row_number within a bucket, plus the sizes of those before.
     """
     total = placed.count()
     split = max(1, -(-total // (shards * BUCKET_ROWS)))
     # by the row's hash, so that neither a hub nor an id can fill a bucket; linked documents come first
-    bucket = F.pmod(F.xxhash64("row"), F.lit(split)) + F.when(F.col("linked"), 0).otherwise(split)
+    bucket = F.pmod(F.xxhash64("node"), F.lit(split)) + F.when(F.col("linked"), 0).otherwise(split)
     keyed = scratch.save(placed.withColumn("bucket", bucket.cast("int")), "keyed")
     counts = keyed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))  # some 2 * total / BUCKET_ROWS rows
     w = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = scratch.save(counts.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))), "offsets")
-    rank = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("row"))
+    rank = F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("node", "row"))
     ranked = scratch.save(keyed.withColumn("rank", rank), "ranked")
     out = ranked.join(offsets.select("shard", "bucket", "before"), ["shard", "bucket"])
     sizes = [0] * shards
@@ -120,7 +120,8 @@ def shard_documents(
 
     Law ``rows``: shards' counts differ by one at most. Equal texts are links (null counts as empty);
     size is the text's UTF-8 bytes plus 1. ``slot`` runs from 0 without gaps in each shard. Repeated and
-    null ids are rows like any other; an empty table gives no rows.
+    null ids are rows like any other; an empty table gives no rows. Placement follows ids and texts, not how rows are dealt
+    out: the same rows in other files get the same shards (rows equal in id and text are told apart as scanned).
     """
     scratch = Scratch(docs.sparkSession, "sharding")
     body = F.coalesce(F.col(text), F.lit(""))
@@ -131,12 +132,16 @@ def shard_documents(
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.unhex(F.sha2(body, 256)).alias("hub"),
     )
-    base = scratch.save(base, "base")
+    base = scratch.save(base.withColumn("key", F.xxhash64("doc_id", "hub")), "base")
     total = base.count()
+    # what places a row is a hash of its id and text; rows that share both are spread by their row number
+    twins = scratch.save(base.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "twins")
+    told = base.join(twins.withColumn("twin", F.lit(True)), "key", "left")
+    base = scratch.save(told.withColumn("node", F.when(F.col("twin"), F.xxhash64("key", "row")).otherwise(F.col("key"))).drop("key", "twin"), "nodes")
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     shared = scratch.save(base.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1").select("hub"), "hubs")
-    start = F.pmod(F.xxhash64("row", "hub"), F.lit(shards)).cast("int")
-    nodes = base.join(shared, "hub", "left_semi").select("row", "hub", start.alias("shard"))
+    start = F.pmod(F.xxhash64("node", "hub"), F.lit(shards)).cast("int")
+    nodes = base.join(shared, "hub", "left_semi").select("row", "node", "hub", start.alias("shard"))
     state = propagate(nodes, shards, quotas, rounds, scratch)
     held = [0] * shards
     for r in state.groupBy("shard").agg(F.count("*").alias("n")).collect():
@@ -147,10 +152,10 @@ def shard_documents(
     for x in left:
         acc += x
         ends.append(acc)
-    spot = F.pmod(F.xxhash64("row"), F.lit(scale))
+    spot = F.pmod(F.xxhash64("node"), F.lit(scale))
     fill = reduce(lambda e, s: e.when(spot < ends[s], F.lit(s)), range(1, shards), F.when(spot < ends[0], F.lit(0))).otherwise(F.lit(shards - 1))
-    placed = base.select("row", "hub").join(state.select("row", F.col("shard").alias("s")), "row", "left")
-    placed = placed.select("row", "hub", F.col("s").isNotNull().alias("linked"), F.coalesce("s", fill).cast("int").alias("shard"))
+    placed = base.select("row", "node").join(state.select("row", F.col("shard").alias("s")), "row", "left")
+    placed = placed.select("row", "node", F.col("s").isNotNull().alias("linked"), F.coalesce("s", fill).cast("int").alias("shard"))
     at, sizes = _numbered(placed, shards, scratch)
     # exact evening: positions past the quota leave, in order, for the free slots of shards below theirs
     over_before, vacant_before, o, v = [], [], 0, 0

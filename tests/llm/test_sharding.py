@@ -48,3 +48,15 @@ def test_same_result_again(spark):
     df = awkward(spark)
     key = lambda: sorted(map(str, sharding.shard_documents(df).collect()))
     assert key() == key()
+
+
+def test_other_partitions_give_the_same_shards(spark):
+    texts = [(i, prose(i, 5)) for i in range(500)] + [(1000 + i, f"pair {i // 3}") for i in range(240)] + [(None, None), (7000, "")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    shards = lambda n: sorted(map(str, sharding.shard_documents(df.repartition(n)).collect()))
+    assert shards(1) == shards(7)
+
+
+def test_a_row_repeated_over_and_over_is_spread(spark):
+    rows = [(1, "same")] * 300 + [(i, prose(i, 5)) for i in range(2, 400)]
+    check(sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), len(rows))
