@@ -1,8 +1,9 @@
 """Best-fit packing of token pieces into sequences: large-item matching, then best fit.
 
 Whole texts are tokenised in Arrow batches; only lengths and checksums leave the workers, in a
-durable table. Pieces are dealt into blocks of about ``block_rows`` by a stored row number, so a
-block fits one task's memory at any corpus size and a repeated id cannot fill one block. Each block
+durable table. Pieces are dealt into blocks of about ``block_rows`` by a hash of id and text, and where rows share
+both by a stored row number, so a block fits one task's memory at any corpus size, no repeated row can fill
+one, and the packing does not depend on how rows are dealt out. Each block
 is packed on its own; a block wastes at most part of one sequence against packing all at once
 (one in some 2,000).
 
@@ -146,7 +147,7 @@ def pack_lengths(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
 
 
 def _pack_block(table: pa.Table, capacity: int) -> pa.Table:
-    table = table.sort_by([("__row", "ascending"), ("piece", "ascending")])
+    table = table.sort_by([("__key", "ascending"), ("__row", "ascending"), ("piece", "ascending")])
     lengths = table.column("length").to_numpy()
     bins, offsets = pack_lengths(lengths, capacity)
     block = table.column("__block").to_numpy()
@@ -173,25 +174,29 @@ def pack(
     """
     paths = paths or tokenizer_paths()
     scratch = Scratch(docs.sparkSession, "packing")
-    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    key = F.xxhash64(doc_id, F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), key.alias("__key"))
 
     def tokenise(batches, paths=paths):
         for batch in batches:
             (out,) = list(_pieces(iter([batch.select([0, 2])]), paths, capacity, end_id))
             at = {r: i for i, r in enumerate(batch.column(0).to_pylist())}
-            ids = batch.column(1).take(pa.array([at[r] for r in out.column(0).to_pylist()], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *out.columns], names=["doc_id", *out.schema.names])
+            of = pa.array([at[r] for r in out.column(0).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(1).take(of), batch.column(3).take(of), *out.columns], names=["doc_id", "__key", *out.schema.names])
 
     kind = dict(rows.dtypes)["doc_id"]
-    pieces = rows.mapInArrow(tokenise, f"doc_id {kind}, __row bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    pieces = rows.mapInArrow(tokenise, f"doc_id {kind}, __key bigint, __row bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
     pieces = scratch.save(pieces, "pieces")
     blocks = max(1, -(-pieces.count() // block_rows))
-    dealt = pieces.withColumn("__block", F.pmod(F.xxhash64("__row", "piece"), F.lit(blocks)).cast("int"))
+    twins = pieces.filter("piece = 0").groupBy("__key").agg(F.count("*").alias("n")).filter("n > 1").select("__key", F.lit(True).alias("__twin"))
+    told = pieces.join(scratch.save(twins, "twins"), "__key", "left")
+    by = F.xxhash64("__key", "piece", F.when(F.col("__twin"), F.col("__row")))
+    dealt = told.withColumn("__block", F.pmod(by, F.lit(blocks)).cast("int")).drop("__twin")
     packed = dealt.groupBy("__block").applyInArrow(
         lambda t: _pack_block(t, capacity),
-        f"doc_id {kind}, __row bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+        f"doc_id {kind}, __key bigint, __row bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
     )
-    return packed.drop("__row")
+    return packed.drop("__key", "__row")
 
 
 def render(docs: DataFrame, packed: DataFrame, *, capacity: int = CAPACITY, end_id: int = END_ID, paths: tuple[str, str] | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from ripplebook.llm import packing
-from tests.llm.util import awkward, empty
+from tests.llm.util import awkward, empty, prose
 
 PATHS = packing.tokenizer_paths()
 
@@ -71,3 +71,19 @@ def test_both_encoders_agree():
         for form in ("a{}b", "a {} b", " {}{} ", "1{}2", "{}'s\n{}"):
             text = form.replace("{}", chr(c))
             assert fast.encode_ordinary(text) == slow.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_partitions_give_the_same_sequences(spark):
+    texts = [(k, prose(k, 20 + 37 * k % 900)) for k in range(200)] + [(5000, "one and the same")] * 3
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    packed = lambda n: sorted(map(str, packing.pack(df.repartition(n), block_rows=64).drop("row").collect()))
+    assert packed(1) == packed(5)
+
+
+def test_a_row_repeated_over_and_over_fills_no_block(spark):
+    df = spark.createDataFrame([(1, "one and the same")] * 500 + [(k, prose(k, 30)) for k in range(2, 100)], "doc_id bigint, text string")
+    rows = packing.pack(df, block_rows=50).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.sequence_id >> 32] = sizes.get(r.sequence_id >> 32, 0) + 1
+    assert len(rows) == 598 and max(sizes.values()) < 120
