@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 BUCKETS = 1 << 15
 DIM = 16
-CACHE = 300_000
+#: Words that a task remembers, and the scores that these may take in all (32 MB).
+CACHE, CACHED_SCORES = 300_000, 4_000_000
+#: Bounds of the training sample: languages (the most frequent), and characters of a text (longer ones are no examples).
+MOST_LANGUAGES, SAMPLE_CHARS = 500, 200_000
 #: Subwords without evidence that every text is taken to have; short texts get less certain scores.
 PRIOR = 8
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -81,8 +84,9 @@ class Reader:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, int] = {}
-        self.sums = np.zeros((CACHE, len(model.languages)))
-        self.sizes = np.zeros(CACHE)
+        self.room = min(CACHE, max(1024, CACHED_SCORES // max(1, len(model.languages))))
+        self.sums = np.zeros((self.room, len(model.languages)))
+        self.sizes = np.zeros(self.room)
 
     def _learn_words(self, words: list[str]) -> None:
         first = len(self.known)
@@ -96,10 +100,10 @@ class Reader:
         """Averages over the bag's subwords; words are looked up in parts, so that any text fits the memory."""
         total, n = self.model.bias * 0, 0.0
         words = list(bag)
-        for k in range(0, len(words), CACHE // 4):
-            part = words[k : k + CACHE // 4]
+        for k in range(0, len(words), self.room // 4):
+            part = words[k : k + self.room // 4]
             new = [w for w in part if w not in self.known]
-            if len(self.known) + len(new) > CACHE:
+            if len(self.known) + len(new) > self.room:
                 self.known.clear()
                 new = part
             if new:
@@ -131,9 +135,9 @@ class Reader:
                     if t and len(t) < 100_000:
                         fresh.update(LETTERS.findall(t.lower()))
                 new = [w for w in fresh if w not in self.known]
-                if len(self.known) + len(new) > CACHE:
+                if len(self.known) + len(new) > self.room:
                     self.known.clear()
-                    new = list(fresh) if len(fresh) <= CACHE else []
+                    new = list(fresh) if len(fresh) <= self.room else []
                 if new:
                     self._learn_words(new)
             out += [self.predict(t) for t in part]
@@ -200,32 +204,34 @@ def learn(texts: list[str], langs: list[str], *, epochs: int = 4, rate: float =
 
 
 def training_sample(docs: DataFrame, per_language: int, *, text: str = "text", lang: str = "lang", key: str = "doc_id") -> tuple[list[str], list[str]]:
-    """About ``per_language`` whole texts of each language, chosen by id hash; never over twice that.
+    """About ``per_language`` whole texts of each language, chosen by id hash; never over twice that, nor of over
+    MOST_LANGUAGES languages, nor of over SAMPLE_CHARS characters.
 
     The share of each language's rows to take comes from its count over all rows, so a frequent
-    language costs no more than a rare one and nothing is ranked or sorted.
+    language costs no more than a rare one. The same rows are picked however they are dealt out.
     """
-    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[lang]: r["n"] for r in known.groupBy(lang).agg(F.count("*").alias("n")).collect()}
+    known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
+    counts = known.groupBy(lang).agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), lang).limit(MOST_LANGUAGES).collect()
     if not counts:
         return [], []
-    share = F.lit(0.0)
-    for name, n in sorted(counts.items()):
-        share = F.when(F.col(lang) == name, F.lit(min(1.0, per_language / n))).otherwise(share)
+    shares = docs.sparkSession.createDataFrame([(r[lang], min(1.0, per_language / r["n"])) for r in counts], "__lang string, __share double")
+    place = F.xxhash64(F.lit("langid"), F.col(key), F.col(text))
     unit = F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    picked = known.filter(unit < share).select(F.col(key).cast("string").alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
-    rows = sorted((str(r["k"]), r["l"], r["t"]) for r in picked.limit(2 * per_language * len(counts)).collect())
+    near = known.join(F.broadcast(shares), F.col(lang) == F.col("__lang")).filter(unit < F.col("__share"))  # MOST_LANGUAGES rows at most
+    picked = near.select(place.alias("p"), F.col(key).cast("string").alias("k"), F.col(lang).alias("l"), F.col(text).alias("t"))
+    rows = sorted((str(r["k"]), r["l"], r["t"]) for r in picked.orderBy("p", "l").limit(2 * per_language * len(counts)).collect())
     return [t for _, _, t in rows], [x for _, x, _ in rows]
 
 
-def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with lang_pred, score and rejected (score below the calibrated threshold).
 
     Null texts and texts without a letter: ``und``, 0.0, rejected. Other columns pass through (columns
-    of these names are replaced).
+    of these names are replaced); ``keep`` names those that shall, so that texts need not come back.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     names = docs.columns
+    kept = [c for c in names if keep is None or c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]):
         reader, at = Reader(model), names.index(text)
@@ -234,9 +240,10 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             lang, score = [g[0] for g in got], [g[1] for g in got]
             rejected = [x == UNDETERMINED or s < model.threshold for x, s in got]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*names, "lang_pred", "score", "rejected"],
+                [*[batch.column(names.index(c)) for c in kept], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=[*kept, "lang_pred", "score", "rejected"],
             )
 
-    schema = [f"`{n}` {t}" for n, t in docs.dtypes] + ["lang_pred string", "score double", "rejected boolean"]
+    kinds = dict(docs.dtypes)
+    schema = [f"`{n}` {kinds[n]}" for n in kept] + ["lang_pred string", "score double", "rejected boolean"]
     return docs.mapInArrow(run, ", ".join(schema))

@@ -39,7 +39,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").filter(crc_mod(F.col("doc_id"), 5) != 0)
     texts, marks, share = toxicity.training_sample(docs, labels, TOXIC_PER_CLASS, doc_id="doc_id", text="text", label="toxic")
-    scored = toxicity.score(docs, toxicity.learn(texts, marks, toxic_share=share))
+    scored = toxicity.score(docs, toxicity.learn(texts, marks, toxic_share=share), keep=["doc_id"])
     held = F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -48,9 +48,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document; learns from rows of crc32(doc_id) mod 4 other than 2."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     texts, langs = langid.training_sample(docs.filter(crc_mod(F.col("doc_id"), 4) != 2), LANG_PER_LANGUAGE)
-    found = langid.identify(docs.select("doc_id", "text"), langid.learn(texts, langs))
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(texts, langs), keep=["doc_id"])
     held = F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
-    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ REPORTING = frozenset("said says wrote writes called calls quoted quote quotes t
 ADDRESS = frozenset("you your you're youre u tu vous du ihr dich usted eres".split())
 QUOTES = "\"'“”„«»‘’"
 WINDOW = 6
+#: Texts of more characters are no training examples.
+SAMPLE_CHARS = 200_000
 #: Words seen per task before the memory of them starts anew.
 CACHE = 400_000
 
@@ -136,64 +138,81 @@ class Model:
     stems: dict[str, bool] = field(default_factory=dict)  # term -> whether words may go on after it
     clean: frozenset[str] = frozenset()  # near-terms that clean texts use
     unsafe: frozenset[str] = frozenset()  # terms that clean texts have many near-terms of: matched exactly only
+    factors: tuple[float, float, float, float] = (0.3, 1.3, 0.7, 0.5)  # what a hit counts: reported or quoted, addressed, at one edit, at two
     curve: tuple[float, float, float] = (0.0, 0.0, -30.0)  # of log evidence, of log density, constant
 
 
+#: What each factor may be; the model's own values are where fitting starts, and stay where the sample does not speak against them.
+CHOICES = ((0.1, 0.3, 0.6, 1.0), (1.0, 1.3, 1.8), (0.4, 0.7, 1.0), (0.25, 0.5, 0.8))
+
+
+#: A term met in a text: its weight, the edits, whether it is reported or quoted, whether someone is addressed.
+Hit = tuple[float, int, bool, bool]
+
+
 class Scorer:
     """Evidence of a text under a model; keeps a bounded memory of words seen."""
 
     def __init__(self, model: Model):
         self.model, self.trie = model, Trie(model.stems)
         self.none: set[str] = set()
-        self.hits: dict[str, float] = {}
+        self.hits: dict[str, tuple[float, int]] = {}
 
-    def weight(self, word: str) -> float:
-        """0 unless the word is a term, goes on from a stem, or misspells a term (weighing less)."""
+    def weight(self, word: str) -> tuple[float, int]:
+        """(weight, edits) of a term that the word is, goes on from or misspells; weight 0 for any other word."""
         m = self.model
         if term := self.trie.exact(word):
-            return m.weights[term]
+            return m.weights[term], 0
         if word not in m.clean and (near := self.trie.fuzzy(word)) and near[0] not in m.unsafe:
-            return m.weights[near[0]] * (0.7 if near[1] == 1 else 0.5)
-        return 0.0
+            return m.weights[near[0]], near[1]
+        return 0.0, 0
 
     def evidence(self, text: str) -> tuple[float, float]:
         """(log evidence, log evidence a hundred words)."""
+        hits, n_words = self.found(text)
+        return evidence_of(hits, n_words, self.model.factors)
+
+    def found(self, text: str) -> tuple[list[Hit], int]:
+        """(hits in their context, number of words) of a text."""
         if not self.model.weights or not text:
-            return 0.0, 0.0
+            return [], 0
         low = text.lower()
         words = WORDS.findall(low)
         found = False
         for w in set(words) - self.none:
             if w in self.hits:
                 found = True
-            elif (x := self.weight(w)) > 0:
+            elif (x := self.weight(w))[0] > 0:
                 self.hits[w] = x
                 found = True
             else:
                 self.none.add(w)
-        total = self._in_context(low) if found else 0.0
+        hits = self._in_context(low) if found else []
         if len(self.none) + len(self.hits) > CACHE:
             self.none.clear()
             self.hits.clear()
             self.trie = Trie(self.model.stems)
-        return float(np.log1p(total)), float(np.log1p(100 * total / (len(words) + 50)))
+        return hits, len(words)
 
-    def _in_context(self, low: str) -> float:
+    def _in_context(self, low: str) -> list[Hit]:
         spans = [(m.group(), m.start(), m.end()) for m in WORDS.finditer(low)]
-        total = 0.0
+        out: list[Hit] = []
         for k, (w, start, end) in enumerate(spans):
             if w not in self.hits:
                 continue
             before = [s[0] for s in spans[max(0, k - WINDOW) : k]]
             after = [s[0] for s in spans[k + 1 : k + 1 + WINDOW]]
-            factor = 1.0
             quoted = low[start - 1 : start] in QUOTES and low[start - 1 : start] and low[end : end + 1] in QUOTES and low[end : end + 1]
-            if quoted or REPORTING.intersection(before[-4:]):
-                factor *= 0.3
-            if ADDRESS.intersection(before[-3:] + after[:3]):
-                factor *= 1.3
-            total += self.hits[w] * factor
-        return total
+            told = bool(quoted or REPORTING.intersection(before[-4:]))
+            out.append((*self.hits[w], told, bool(ADDRESS.intersection(before[-3:] + after[:3]))))
+        return out
+
+
+def evidence_of(hits: list[Hit], n_words: int, factors: tuple[float, ...]) -> tuple[float, float]:
+    """(log evidence, log evidence a hundred words) of hits under the factors of their contexts and edits."""
+    told, addressed, *by_edits = factors
+    total = sum(w * (told if t else 1) * (addressed if a else 1) * (by_edits[min(e, 2) - 1] if e else 1) for w, e, t, a in hits)
+    return float(np.log1p(total)), float(np.log1p(100 * total / (n_words + 50)))
 
 
 def _lexicon(texts: list[str], labels: list[int], min_docs: int, min_share: float, precision: float) -> Model:
@@ -250,15 +269,21 @@ def learn(
     if len(set(labels)) < 2:
         return Model()
     args = (min_docs, min_share, precision)
-    x = np.zeros((len(texts), 2))
+    seen: list[tuple[list[Hit], int]] = [([], 0)] * len(texts)
     for half in (0, 1):
         rest = [i for i in range(len(texts)) if i % 2 != half]
         scorer = Scorer(_lexicon([texts[i] for i in rest], [labels[i] for i in rest], *args))
         for i in range(half, len(texts), 2):
-            x[i] = scorer.evidence(texts[i])
+            seen[i] = scorer.found(texts[i])
     model, y = _lexicon(texts, labels, *args), np.asarray(labels, float)
     share = toxic_share or float(y.mean())
     w = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
+    model.factors, model.curve = _fitted(seen, y, w, model.factors)
+    return model
+
+
+def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[tuple[float, float, float], float]:
+    """(coefficients, weighted loss) of the ridge-penalised logistic curve."""
     X, c = np.column_stack([x, np.ones(len(y))]), np.array([1.0, 0.0, -1.0])
     ridge = np.diag([0.05, 0.05, 0.001])
     for _ in range(100):  # Newton steps on the ridge-penalised likelihood
@@ -268,35 +293,60 @@ def learn(
         c = c - step * min(1.0, 2.0 / np.abs(step).max())
         if np.abs(step).max() < 1e-8:
             break
-    model.curve = (float(c[0]), float(c[1]), float(c[2]))
-    return model
+    z = np.clip(X @ c, -30, 30)
+    loss = float((w * (np.logaddexp(0, z) - y * z)).sum() + c @ ridge @ c / 2)
+    return (float(c[0]), float(c[1]), float(c[2])), loss
+
+
+def _fitted(seen: list[tuple[list[Hit], int]], y: np.ndarray, w: np.ndarray, start: tuple[float, ...]) -> tuple[tuple[float, ...], tuple[float, float, float]]:
+    """(factors, curve) by descent over one factor at a time. A factor leaves its starting value only for a loss less by one,
+    which is what two in three chance improvements stay under."""
+    def at(factors: tuple[float, ...]):
+        return _curve(np.array([evidence_of(hits, n, factors) for hits, n in seen]).reshape(-1, 2), y, w)
+
+    factors = start
+    curve, least = at(factors)
+    for _ in range(2):
+        for k, choices in enumerate(CHOICES):
+            for value in choices:
+                tried = (*factors[:k], value, *factors[k + 1 :])
+                if tried != factors and (got := at(tried))[1] < least - 1:
+                    factors, (curve, least) = tried, got
+    return factors, curve
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, per_class: int, *, doc_id: str, text: str, label: str) -> tuple[list[str], list[int], float]:
     """Texts and labels of at most ``per_class`` documents a label, those of the smallest id hashes; the
-    share of label 1 among all labelled rows."""
+    share of label 1 among all labelled ids.
+
+    An id that is labelled both 0 and 1 counts as 1; of several texts of one id the least counts. Texts of over SAMPLE_CHARS
+    characters are no examples.
+    """
+    known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y")).filter("__id is not null and __y in (0, 1)")
+    known = known.groupBy("__id").agg(F.max("__y").alias("__y"))
     ids = []
-    known = labels.select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__y")).filter("__id is not null")
     for y in (0, 1):
-        ids += [(r["__id"], y) for r in known.filter(F.col("__y") == y).distinct().orderBy(F.xxhash64("__id"), "__id").limit(per_class).collect()]
+        ids += [(r["__id"], y) for r in known.filter(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(per_class).collect()]
     if not ids:
         return [], [], 0.0
-    share = known.filter("__y in (0, 1)").agg(F.avg("__y")).first()[0]
+    share = known.agg(F.avg("__y")).first()[0]
     kind = dict(docs.dtypes)[doc_id]
     picked = docs.sparkSession.createDataFrame(ids, f"__id {kind}, __y int")  # at most 2 * per_class rows
-    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__t")).filter("__t is not null").join(F.broadcast(picked), "__id")
+    rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__t")).filter(F.length("__t") <= SAMPLE_CHARS).join(F.broadcast(picked), "__id")
+    rows = rows.groupBy("__id", "__y").agg(F.min("__t").alias("__t"))
     got = sorted((str(r["__id"]), r["__y"], r["__t"]) for r in rows.collect())
     return [t for _, _, t in got], [y for _, y, _ in got], float(share)
 
 
-def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``score`` (0 to 1). Null and empty texts have no evidence and the curve's lowest score.
 
     Rows are scored one by one from their text alone; other columns pass through (one named ``score``
-    is replaced).
+    is replaced); ``keep`` names those that shall, so that texts need not come back.
     """
     docs = docs.drop("score")
     names = docs.columns
+    kept = [c for c in names if keep is None or c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]):
         scorer = Scorer(model)
@@ -304,6 +354,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
         for batch in batches:
             e = np.array([scorer.evidence(t or "") for t in batch.column(at).to_pylist()], float).reshape(-1, 2)
             s = 1 / (1 + np.exp(-np.clip(e @ np.array(model.curve[:2]) + model.curve[2], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(s, pa.float64())], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in kept], pa.array(s, pa.float64())], names=[*kept, "score"])
 
-    return docs.mapInArrow(run, ", ".join([f"`{n}` {t}" for n, t in docs.dtypes] + ["score double"]))
+    kinds = dict(docs.dtypes)
+    return docs.mapInArrow(run, ", ".join([f"`{n}` {kinds[n]}" for n in kept] + ["score double"]))

@@ -66,8 +66,47 @@ def test_scores(spark):
 
 
 def test_held_out(spark):
-    got = op4_toxicity(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").filter("held_out").collect()
-    assert sum(r.predicted == r.toxic for r in got) / len(got) > 0.93
+    got = op4_toxicity(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").filter("held_out").collect()
+    hits, toxic, named = sum(r.predicted == r.toxic == 1 for r in got), sum(r.toxic == 1 for r in got), sum(r.predicted for r in got)
+    print(hits, toxic, named, len(got))
+    assert hits >= 0.9 * toxic > 50 and hits >= 0.95 * named
+
+
+def test_an_id_of_both_labels_and_of_several_texts(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, "d" * 50), (4, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (2, 0), (3, 1), (4, 1), (None, 1)], "doc_id bigint, toxic int")
+    texts, marks, share = t.training_sample(docs, labels, 10, doc_id="doc_id", text="text", label="toxic")
+    assert (texts, marks) == (["a", "c", "d" * 50], [1, 0, 1]) and share == 0.75
+
+
+def test_context_factors_follow_the_sample():
+    """Where quoted terms are always clean and bare ones toxic, quoting takes nearly all of a hit's weight; where it tells nothing, it takes less than at first."""
+
+    def rows(quoted_is_clean):
+        out = []
+        for i in range(600):
+            words, y = prose(i, 30).split(), int(i % 3 == 0)
+            quoted = (not y) if quoted_is_clean else i % 2 == 0
+            if y or i % 3 == 1 and quoted_is_clean:
+                words.insert(9, '"frobnicator"' if quoted else "frobnicator")
+            out.append((" ".join(words), y))
+        return zip(*out, strict=True)
+
+    base = t.Model().factors
+    seen = lambda texts, m: [t.Scorer(m).found(x) for x in texts]
+    lexicon = t.Model({"frobnicator": 3.0}, {"frobnicator": False})
+    for clean in (True, False):
+        texts, y = rows(clean)
+        y = t.np.asarray(y, float)
+        factors, _ = t._fitted(seen(texts, lexicon), y, t.np.ones(len(y)), base)
+        assert (factors[0] == min(t.CHOICES[0]) if clean else factors[0] > base[0]) and factors[2:] == base[2:]
+
+
+def test_columns_kept(spark):
+    model = t.learn(*sample())
+    df = awkward(spark)
+    assert t.score(df, model).columns == [*[c for c in df.columns if c != "score"], "score"]
+    assert t.score(df, model, keep=["doc_id"]).columns == ["doc_id", "score"]
 
 
 def test_no_labels(spark, tmp_path):
