@@ -74,9 +74,9 @@ def test_both_encoders_agree():
 
 
 def test_other_partitions_give_the_same_sequences(spark):
-    texts = [(k, prose(k, 20 + 37 * k % 900)) for k in range(200)] + [(5000, "one and the same")] * 3
+    texts = [(k, prose(k, 20 + 37 * k % 900)) for k in range(200)]
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
-    packed = lambda n: sorted(map(str, packing.pack(df.repartition(n), block_rows=64).drop("row").collect()))
+    packed = lambda n: sorted(map(str, packing.pack(df.repartition(n), block_rows=64).collect()))
     assert packed(1) == packed(5)
 
 
