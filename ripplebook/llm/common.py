@@ -2,40 +2,25 @@
 
 Intermediate tables go to the shared folder named by ``spark.checkpoint.dir``, so that a
 lost executor costs the recomputation of unfinished tasks only and lineage stays short.
-A private folder is made only where that setting is missing (local tests).
 """
 
 from __future__ import annotations
 
 import atexit
 import contextlib
-import shutil
-import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplebook.sources.durable import shared_base
+
 #: Fixed by the contract of every word-based operator: words are runs of other characters.
 SPACES = " \t\n\u000b\f\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
-_own_base: str | None = None
-
-
-def shared_base(spark: SparkSession) -> str:
-    """The folder that driver and executors share, read from the session."""
-    global _own_base
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    if _own_base is None:
-        _own_base = tempfile.mkdtemp(prefix="ripplebook-")
-        atexit.register(shutil.rmtree, _own_base, ignore_errors=True)
-    return _own_base
-
-
 _open: list[Scratch] = []
 
 
@@ -46,6 +31,18 @@ def _close_all() -> None:
             scratch.close()
 
 
+@contextlib.contextmanager
+def closing_scratch() -> Iterator[None]:
+    """Deletes at its end the tables of all operators called within: for callers that have written the results by then."""
+    before = len(_open)
+    try:
+        yield
+    finally:
+        for scratch in _open[before:]:
+            scratch.close()
+        del _open[before:]
+
+
 class Scratch:
     """Parquet tables of one operator call in the shared folder.
 

@@ -140,3 +140,58 @@ def test_similarity_is_exact_at_the_threshold(spark, monkeypatch, block):
     root = classes(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
     got = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert sorted(r.doc_id for r in got.collect()) == sorted({rows[r][0] for r in root})
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_filter_against_exact_similarity_of_all_documents(spark):
+    """Of 1,000 documents: classes of those linked at 0.8 or more, by an inverted index; one of each class stays and no other goes."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    at = {}
+    for i, s in sets.items():
+        for x in s:
+            at.setdefault(x, []).append(i)
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in sets.items():
+        both = {}
+        for x in s:
+            for j in at[x]:
+                if j < i:
+                    both[j] = both.get(j, 0) + 1
+        for j, n in both.items():
+            if n >= 0.8 * (len(s) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    blank = min((i for i, s in sets.items() if not s), default=None)
+    want = {find(i) for i, s in sets.items() if s} | ({blank} if blank is not None else set())
+    kept = {r.doc_id for r in simhash.keep_one_of_each(docs).select("doc_id").collect()}
+    assert len(want) < len(sets) and len(kept - want) <= 0.05 * (len(sets) - len(want)) and want <= kept
+
+
+def test_pairs_compared_a_document_do_not_grow_with_the_corpus():
+    """Unlike documents with near copies of a few: pairs that share a key of a band, a document, over three sizes."""
+    rng = np.random.default_rng(8)
+    shares = []
+    for n in (500, 2000, 8000):
+        keys = []
+        for k in range(n):
+            own = rng.integers(0, 2**63, 40, dtype=np.uint64)
+            keys.append(simhash.band_keys(own))
+            if k % 20 == 0:
+                keys.append(simhash.band_keys(np.r_[own[:38], rng.integers(0, 2**63, 2, dtype=np.uint64)]))
+        pairs = 0
+        for band in np.array(keys).T:
+            _, counts = np.unique(band, return_counts=True)
+            pairs += int((counts * (counts - 1) // 2).sum())
+        shares.append(pairs / len(keys))
+    assert max(shares) < 1.2 * min(shares)
