@@ -21,6 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORDS = re.compile(r"[^\W\d_]+")
+#: Words that digits or symbols may stand within; what these are read as, and leave out (fixed values).
+TOKENS = re.compile(r"[^\W\d_]+(?:[\d@$*!+]+[^\W\d_]+)*")
+LOOKS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i", "*": None, "+": None, "2": None, "6": None, "8": None, "9": None})
 #: Context cues, fixed values.
 REPORTING = frozenset("said says wrote writes called calls quoted quote quotes term word words slur dit écrit mot sagte schrieb wort dijo escribió palabra".split())
 ADDRESS = frozenset("you your you're youre u tu vous du ihr dich usted eres".split())
@@ -159,7 +162,14 @@ class Scorer:
         self.hits: dict[str, tuple[float, int]] = {}
 
     def weight(self, word: str) -> tuple[float, int]:
-        """(weight, edits) of a term that the word is, goes on from or misspells; weight 0 for any other word."""
+        """(weight, edits) of a term that the word is, goes on from or misspells; weight 0 for any other word.
+
+        Digits and symbols within are read as the letters they look like, which is an edit at least; else the weightiest of the
+        words between them counts.
+        """
+        if not word.isalpha():
+            weight, edits = self.weight(word.translate(LOOKS))
+            return (weight, max(1, edits)) if weight else max(map(self.weight, WORDS.findall(word)))
         m = self.model
         if term := self.trie.exact(word):
             return m.weights[term], 0
@@ -177,7 +187,7 @@ class Scorer:
         if not self.model.weights or not text:
             return [], 0
         low = text.lower()
-        words = WORDS.findall(low)
+        words = TOKENS.findall(low)
         found = False
         for w in set(words) - self.none:
             if w in self.hits:
@@ -195,7 +205,7 @@ class Scorer:
         return hits, len(words)
 
     def _in_context(self, low: str) -> list[Hit]:
-        spans = [(m.group(), m.start(), m.end()) for m in WORDS.finditer(low)]
+        spans = [(m.group(), m.start(), m.end()) for m in TOKENS.finditer(low)]
         out: list[Hit] = []
         for k, (w, start, end) in enumerate(spans):
             if w not in self.hits:
@@ -218,8 +228,8 @@ def evidence_of(hits: list[Hit], n_words: int, factors: tuple[float, ...]) -> tu
 def _lexicon(texts: list[str], labels: list[int], min_docs: int, min_share: float, precision: float) -> Model:
     """Terms that toxic texts have and clean ones lack, weighed by log odds.
 
-    A stem is taken if its words are several, none of which makes up most of it; a whole word if no
-    stem covers it.
+    A stem is taken if its words are several, none of which makes up most of it. Whole words are taken beside the stems they
+    begin with, as only whole words are matched with edits.
     """
     n_toxic, n_clean = sum(labels), len(labels) - sum(labels)
     toxic: Counter[str] = Counter()
@@ -240,8 +250,7 @@ def _lexicon(texts: list[str], labels: list[int], min_docs: int, min_share: floa
         if not any(p[:k] in stems for k in range(4, len(p))):
             stems[p] = True
     for p in sorted(p[:-1] for p in good if p.endswith("$")):
-        if not any(stems.get(p[:k]) for k in range(4, len(p) + 1)):
-            stems[p] = False
+        stems.setdefault(p, False)
     odds = lambda p: float(np.log((toxic[p] + 0.5) / (n_toxic + 1)) - np.log((clean[p] + 0.5) / (n_clean + 1)))
     weights = {t: odds(t if stem else t + "$") for t, stem in stems.items()}
     trie, near, variants = Trie(stems), set(), Counter()

@@ -54,6 +54,23 @@ def test_learned_terms_misspellings_and_quotes():
     assert s.evidence("") == (0.0, 0.0) and t.Scorer(t.Model()).evidence("x") == (0.0, 0.0)
 
 
+def test_disguised_and_misspelled_inflections():
+    """Inflections of a stem are matched with edits, and digits or symbols within words as the letters they look like."""
+    texts, labels = [], []
+    for i in range(600):
+        words, y = prose(i, 40).split(), int(i % 3 == 0)
+        if y:
+            words[5] = ["zarglers", "zargling", "zarglesome"][i // 3 % 3]
+        texts.append(" ".join(words))
+        labels.append(y)
+    s = t.Scorer(t.learn(texts, labels))
+    assert any(s.model.stems.values()) and {"zarglers", "zargling", "zarglesome"} <= set(s.model.weights)
+    hit = lambda text: s.evidence(text)[0]
+    assert hit("a zarglefoo") > 0 and 0 < hit("a sargling") < hit("a zargling") and hit("a quiet garden") == 0
+    assert 0 < hit("a z4rgl1ng") < hit("a zargling") and hit("a zarg*ling") > 0 and hit("garden!zargling") == hit("garden zargling")
+    assert hit("a3b rock+roll 12 5 o'clock") == 0
+
+
 def test_scores(spark):
     model = t.learn(*sample())
     got = t.score(awkward(spark, [(50, "you frobnicator you zarglebad")]), model).collect()
