@@ -144,7 +144,7 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _URL_SQL = r"""
 WITH a AS (SELECT page_id, url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest FROM pages),
-b AS (SELECT page_id, url, coalesce(lower(regexp_extract(rest, '^([^/?#]*)', 1)), '') AS host,
+b AS (SELECT page_id, url, coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
              coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path,
              regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS asked FROM a),
 c AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^www\.', '') AS h,

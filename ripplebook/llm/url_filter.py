@@ -3,8 +3,9 @@
 A list of canonical URLs is folded into a blocked Bloom filter: a key picks one block of 256 bits
 and sets one bit in each of the block's eight 32-bit lanes. The filter is built with one
 aggregation (``bit_or`` per lane, combined map-side) and has at most ``max_blocks`` rows whatever
-the length of the list, so broadcasting it is bounded (2**18 blocks: under 24 MB). URLs that miss
-the filter are certainly unlisted and take no part in a shuffle; possible hits go to an exact
+the length of the list, so broadcasting it is bounded (2**18 blocks: some 25 MB as Spark holds them, enough for
+four million keys; of longer lists more URLs pass, for the join to sort out). URLs that miss the filter
+are certainly unlisted and take no part in a shuffle; possible hits go to an exact
 equi-join on the canonical URL, which removes the false positives. The join's list side has one
 row a key and both sides are plain exchanges, so AQE splits a URL that many pages share.
 """

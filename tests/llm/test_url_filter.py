@@ -55,3 +55,10 @@ def test_canonical_forms(spark):
     df = spark.createDataFrame([(x,) for x in same], "url string").select(u.canonical_url(F.col("url")).alias("c"))
     assert {r.c for r in df.collect()} == {"a.net/p?a=1&b=2"}
     assert u.judge_urls(df.filter("false").withColumnRenamed("c", "url"), df.withColumnRenamed("c", "canonical_url")).count() == 0
+
+
+def test_columns_of_the_same_names_are_replaced(spark):
+    names = ("host", "path", "canonical_url", "rule", "maybe_listed", "listed", "verdict")
+    pages = spark.createDataFrame([(1, "http://a.org/x", *["old"] * 7, 5)], "page_id bigint, url string, " + ", ".join(f"{n} string" for n in names) + ", other int")
+    (r,) = u.judge_urls(pages, spark.createDataFrame([("a.org/x",)], "canonical_url string"), URL_RULES).collect()
+    assert (r.host, r.path, r.canonical_url, r.rule, r.listed, r.verdict, r.other) == ("a.org", "/x", "a.org/x", "org/", True, "allow", 5)
