@@ -218,6 +218,14 @@ def cached_rows(spark, d):
     return numbered.select("seq", "id", "name", F.col("source_cache_name").alias("source"), F.col("record_symbol").alias("symbol"))
 
 
+def json_lines(spark, d):
+    """Properties of events as JSON lines with blank ones between, read back untyped."""
+    root = _scratch(spark, "values")
+    lines = adapters.table(spark, d, "events").select(F.explode(F.array("props", F.lit("  "), F.lit(""))).alias("value"))
+    lines.write.text(root)
+    return tables.read_values(spark, root).groupBy(json_fields.string_field(F.col("value"), "k").alias("k")).agg(F.count("*").alias("n"))
+
+
 def json_times(spark, d):
     """Times of events as whole milliseconds, nanoseconds, digits as text, ISO text, and behind a blank or a null."""
     ms, n = F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id") % 6
@@ -371,6 +379,7 @@ SELECT asset_id, side, pos, levels[pos + 1].price AS price, levels[pos + 1].size
 _JSON_ROW = """'{"asset_id":"' || o_orderkey || '","condition_id":"' || o_custkey || '","outcome":"' || o_orderstatus || '","settled_ts_ns":' || epoch_ns(o_orderdate) || ',"status":"' || CASE o_orderstatus WHEN 'F' THEN 'settled' WHEN 'O' THEN 'unsettled' ELSE 'unknown' END || '"}'"""
 ORACLE_SQL |= {
     "cached_rows": "SELECT row_number() OVER (ORDER BY k, id) - 1 AS seq, id, name, source, symbol FROM (SELECT 0 AS k, s_suppkey AS id, s_name AS name, 'suppliers' AS source, 'S' AS symbol FROM supplier UNION ALL SELECT 1, n_nationkey, n_name, 'nations', NULL FROM nation)",
+    "json_lines": "SELECT json_extract_string(props, '$.k') AS k, count(*) AS n FROM events GROUP BY 1",
     "json_times": "SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events",
     "json_flags": "SELECT event_id, CASE event_id % 7 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false WHEN 5 THEN true WHEN 6 THEN false END AS flag FROM events",
     "json_strings": "SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 2 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 0 END::INTEGER AS n, CASE p_size % 5 WHEN 0 THEN p_brand || '|' || p_type WHEN 1 THEN p_brand WHEN 2 THEN p_brand || '|' || p_type ELSE '' END AS joined FROM part",

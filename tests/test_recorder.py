@@ -131,3 +131,9 @@ def test_driver_and_native_field_readers_agree(spark):
     got = spark.createDataFrame(rows, "t string").select(text.alias("s"), number.alias("n"), flag.alias("b")).collect()
     want = [(d.text_of({"v": x}, "v"), d.number_of({"v": x}, "v"), d.flag_of({"v": x}, "v")) for x in values]
     assert [tuple(r) for r in got] == want
+    texts = [["a", "b"], ["a", 1, None], [], '["p","q"]', '["p",2]', "[]", "no json", 5, None, {"a": "b"}]
+    arrays = spark.createDataFrame([(json.dumps({"v": x}),) for x in texts], "t string").select(j.string_array(j.field(v, "v")).alias("a")).collect()
+    assert [r.a for r in arrays] == [d.strings_of(x) for x in texts]
+    times = [1_700_000_000_000, 1_700_000_000_000_000_000, "1700000000000", "2024-02-29T12:30:00Z", "2024-02-29 12:30:00.250", "2024-02-29T12:30:00+05:30", "-5"]
+    ms = spark.createDataFrame([(json.dumps({"u": " ", "v": x}),) for x in times], "t string").select(j.timestamp_ms(v, "u", "v").alias("ms")).collect()
+    assert [r.ms for r in ms] == [d.time_ms({"u": " ", "v": x}, "u", "v") for x in times]
