@@ -56,7 +56,8 @@ def kline_reference(bars: DataFrame, latency_ms: int) -> DataFrame:
         raise OverflowError("reference latency")
     missing = F.raise_error(F.concat(F.lit("bar without symbol in "), F.col("source_cache_name")))
     bars = bars.withColumn("symbol", F.coalesce("symbol", "record_symbol", missing))
-    bars = with_sequence(bars, ["record_idx", "block", "line_pos"], "ingest_seq")
+    # bars are read and cast, nothing more: finding the ranges reads them a second time, which costs less than writing them
+    bars = with_sequence(bars, ["record_idx", "block", "line_pos"], "ingest_seq", write_first=False)
     out = bars.select(
         text.key("bn_1s", F.col("symbol"), F.col("bar_close_ts_ns")).alias("primary_key"), "symbol", "bar_open_ts_ns", "bar_close_ts_ns",
         (F.col("bar_close_ts_ns") + F.lit(shift)).alias("synthetic_local_recv_ts_ns"), "ingest_seq",
@@ -81,14 +82,15 @@ def input_availability(records: DataFrame) -> DataFrame:
     return _tagged(records.select(*names), schemas.AVAILABILITY)
 
 
-def with_sequence(df: DataFrame, order: list[str], name: str) -> DataFrame:
+def with_sequence(df: DataFrame, order: list[str], name: str, *, write_first: bool = True) -> DataFrame:
     """A dense 0-based number in the order given, which must be total for the result to be fixed.
 
-    One plan at every size: rows are written once, range-partitioned and sorted, numbered within their partition and
-    shifted by the sizes of the partitions before (a row a partition). Reading ``df`` happens once: finding the ranges
-    and dealing the rows out start at the written table.
+    One plan at every size: rows are range-partitioned and sorted, numbered within their partition and shifted by the
+    sizes of the partitions before (a row a partition). Finding the ranges and dealing the rows out each read the input:
+    ``write_first`` has ``df`` computed and written once before.
     """
-    ranged = saved(df, "sequence-input").repartitionByRange(*order).sortWithinPartitions(*order)
+    first = saved(df, "sequence-input") if write_first else df
+    ranged = first.repartitionByRange(*order).sortWithinPartitions(*order)
     # within one task the id counts its rows, in the sorted order; the high bits are the partition
     ranged = saved(ranged.withColumn("__at", F.monotonically_increasing_id()), "sequence")
     part, place = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
