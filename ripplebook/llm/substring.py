@@ -26,14 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ripplebook.llm.common import SPACES, WORD, Scratch
+from ripplebook.llm.url_filter import block_count, build_filter, probe_filter
 
 REACH_CUT, MAX = 4, 64
 REACH = 16
 MIN_WORDS = 20
 #: Places of one chunk in its first document that its later occurrences are dealt to in turn; a lookup width, no cap on what is found.
 PLACES = 64
-#: Rims that are broadcast to find their texts, some 60 bytes each; more are joined by a shuffle.
-FEW_RIMS = 1 << 16
 WORDS = re.compile(WORD)
 #: One random number a byte value; any fixed table serves.
 GEAR = np.random.default_rng(20).integers(0, 2**32, 256, dtype=np.uint32)
@@ -160,16 +159,24 @@ def repeated_spans(
     runs = marked.groupBy("row", "idh", "run").agg(
         F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"), F.min("lo").alias("lo"), F.min("row0").alias("row0"), F.min("at0").alias("at0")
     )
-    # a rim need not be read where a run that is long enough goes on from another
+    # a rim need not be read where a run that is long enough goes on from another, nor beyond the next run of one passage
     long = F.col("end") - F.col("start") >= min_words
-    beside = lambda f, mine, its: long & f(long).over(of_doc) & (f(its).over(of_doc) == F.col(mine))
-    runs = runs.withColumns({"told_left": beside(F.lag, "start", "end"), "told_right": beside(F.lead, "end", "start")})
+    beside = lambda f, mine, its: F.coalesce(long & f(long).over(of_doc) & (f(its).over(of_doc) == F.col(mine)), F.lit(False))
+    runs = runs.withColumns({"diagonal": F.col("at0") - F.col("start"), "told_left": beside(F.lag, "start", "end"), "told_right": beside(F.lead, "end", "start")})
+    along = ["row", "idh", "row0", "lo", "diagonal"]
+    of_pair = Window.partitionBy(*along).orderBy("start")
+    far = F.lit(1 << 30)
+    runs = runs.withColumns({"most_left": F.coalesce(F.col("start") - F.lag("end").over(of_pair), far), "most_right": F.coalesce(F.lead("start").over(of_pair) - F.col("end"), far)})
     runs = scratch.save(runs, "runs")
     scratch.drop(later, first)
     wider = _widened(docs, doc_id, text, runs, scratch)
-    found = runs.join(wider, ["row", "idh", "run"], "left").select(
-        "row", "idh", "doc_id", (F.col("start") - F.coalesce("left", F.lit(0))).alias("start"), (F.col("end") + F.coalesce("right", F.lit(0))).alias("end"), "lo"
+    wide = runs.join(wider, ["row", "idh", "run"], "left").select(
+        *along, "doc_id", (F.col("start") - F.coalesce("left", F.lit(0))).alias("start"), (F.col("end") + F.coalesce("right", F.lit(0))).alias("end")
     )
+    # runs that have met are one passage
+    apart = F.when(F.lag("end").over(of_pair) >= F.col("start"), 0).otherwise(1)
+    met = wide.withColumn("apart", apart).withColumn("passage", F.sum("apart").over(of_pair))
+    found = met.groupBy(*along, "passage").agg(F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end"))
     found = found.filter(F.col("end") - F.col("start") >= min_words)
     ahead = Window.partitionBy("row", "idh").orderBy("start", F.col("end").desc(), "lo").rowsBetween(Window.unboundedPreceding, -1)
     spans = found.withColumn("reached", F.max("end").over(ahead)).filter("reached is null or end > reached")
@@ -182,26 +189,26 @@ def _near(words: list[bytes], side: int, at: int, reach: int) -> list[int]:
     return [xxhash.xxh3_64_intdigest(w) - 2**63 for w in near]
 
 
-def _read_around(texts: DataFrame, asks: DataFrame, reach: int, few: bool) -> DataFrame:
-    """``asks`` (row, idh, side, here and more) with ``near``, the words' hashes; ``texts`` has row, idh and __text (binary).
+def _read_around(texts: DataFrame, asks: DataFrame) -> DataFrame:
+    """``asks`` (row, idh, side, here, words and more) with ``near``, the hashes of so many words; ``texts`` has row, idh and __text (binary).
 
-    A text's asks travel with it as one array; ``few``: they are sent to the texts instead of moving these.
+    A text's asks travel with it as one array.
     """
     more = [c for c in asks.columns if c not in ("row", "idh")]
     kinds = dict(asks.dtypes)
     asked = asks.groupBy("row", "idh").agg(F.collect_list(F.struct(*more)).alias("asks"))  # of one document
-    met = texts.join(F.broadcast(asked) if few else asked.hint("merge"), ["row", "idh"]).select("row", "idh", "asks", "__text")
+    met = texts.join(asked.hint("merge"), ["row", "idh"]).select("row", "idh", "asks", "__text")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             lists = b.column(2)
             counts = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten()
-            side, here = flat.field("side").to_pylist(), flat.field("here").to_pylist()
+            side, here, size = (flat.field(c).to_pylist() for c in ("side", "here", "words"))
             out, k = [], 0
             for n, body in zip(counts.tolist(), b.column(3), strict=True):
                 words = body.as_py().split()
-                out += [_near(words, side[j], here[j], reach) for j in range(k, k + n)]
+                out += [_near(words, side[j], here[j], size[j]) for j in range(k, k + n)]
                 k += n
             take = pa.array(np.repeat(np.arange(len(counts)), counts))
             fields = [flat.field(c) for c in more]
@@ -211,30 +218,41 @@ def _read_around(texts: DataFrame, asks: DataFrame, reach: int, few: bool) -> Da
 
 
 def _widened(docs: DataFrame, doc_id: str, text: str, runs: DataFrame, scratch: Scratch) -> DataFrame:
-    """row, idh, run, left, right: by how many words the runs go on that are not told to end (null on a side that is)."""
+    """row, idh, run, left, right: by how many words the runs go on that are not told to end (null on a side that is).
+
+    Texts are read once a time for both documents of a rim. After the first time few are left to read: a Bloom filter
+    of them (bounded, see :mod:`url_filter`) keeps the others from being moved.
+    """
     texts = docs.select(_text_hash(text).alias("row"), F.xxhash64(doc_id).alias("idh"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
-    rim = lambda s, told, at, at0: F.when(~F.coalesce(told, F.lit(False)) & (at > 0) & (at0 > 0), F.struct(F.lit(s).alias("side"), at.alias("here"), at0.alias("there")))
-    length = F.col("end") - F.col("start")
-    left = rim(-1, F.col("told_left"), F.col("start"), F.col("at0"))
-    right = rim(1, F.col("told_right"), F.col("end"), F.col("at0") + length)
+    rim = lambda s, told, at, at0, most: F.when(~told & (at > 0) & (at0 > 0), F.struct(F.lit(s).alias("side"), at.alias("here"), at0.alias("there"), most.alias("most")))
+    left = rim(-1, F.col("told_left"), F.col("start"), F.col("at0"), F.col("most_left"))
+    right = rim(1, F.col("told_right"), F.col("end"), F.col("end") + F.col("diagonal"), F.col("most_right"))
     going = runs.select("row", "idh", "run", "row0", F.xxhash64("lo").alias("idh0"), F.explode(F.array_compact(F.array(left, right))).alias("r"))
-    going = scratch.save(going.select("row", "idh", "run", "row0", "idh0", "r.*", F.lit(0).alias("n")), "going")
-    done, reach, few = [], REACH, False
+    columns = ["row", "idh", "run", "row0", "idh0", "side", "here", "there", "most", "n"]
+    going = scratch.save(going.select("row", "idh", "run", "row0", "idh0", "r.*", F.lit(0).alias("n")).select(*columns), "going")
+    done, reach, first = [], REACH, True
     while not going.isEmpty():
-        mine = scratch.save(_read_around(texts, going, reach, few), "mine")
-        asks = going.select(F.col("row0").alias("row"), F.col("idh0").alias("idh"), "side", F.col("there").alias("here")).distinct()
-        theirs = _read_around(texts, asks, reach, few).dropDuplicates(["row", "idh", "side", "here"])
-        theirs = scratch.save(theirs.select(F.col("row").alias("row0"), F.col("idh").alias("idh0"), "side", F.col("here").alias("there"), F.col("near").alias("its")), "theirs")
-        differs = F.expr("array_position(zip_with(near, its, (x, y) -> coalesce(x = y, false)), false)")  # 0: nowhere
+        theirs = going.select(F.col("row0").alias("row"), F.col("idh0").alias("idh"), "side", F.col("there").alias("here")).distinct()
+        none = {c: F.lit(None).cast(t) for c, t in going.dtypes if c not in theirs.columns}
+        asks = going.withColumn("words", F.least(F.lit(reach), F.col("most"))).unionByName(theirs.withColumns(none | {"words": F.lit(reach)}))
+        read = texts
+        if not first:
+            keys = scratch.save(asks.select("row").distinct(), "asked")
+            blocks = block_count(keys.count(), 16, 1 << 18)
+            read = probe_filter(texts, "row", build_filter(keys, "row", blocks), blocks, "__asked").filter("__asked").drop("__asked")
+        near = scratch.save(_read_around(read, asks.select("row", "idh", *[c for c in asks.columns if c not in ("row", "idh")])), "near")
+        its = near.filter("run is null").select(F.col("row").alias("row0"), F.col("idh").alias("idh0"), "side", F.col("here").alias("there"), F.col("near").alias("its"))
+        its = its.dropDuplicates(["row0", "idh0", "side", "there"])  # repeated rows answer as often
+        differs = F.expr("array_position(zip_with(near, its, (x, y) -> coalesce(x = y, x is null)), false)")  # 0: nowhere
         got = F.when(differs > 0, differs - 1).otherwise(F.size("near")).cast("int")
-        met = mine.join(theirs, ["row0", "idh0", "side", "there"]).withColumn("got", got)
+        met = near.filter("run is not null").join(its, ["row0", "idh0", "side", "there"]).withColumn("got", got)
         step = F.col("side") * F.col("got")
-        met = met.select("row", "idh", "run", "row0", "idh0", "side", (F.col("here") + step).alias("here"), (F.col("there") + step).alias("there"), (F.col("n") + F.col("got")).alias("n"), (F.col("got") == reach).alias("on"))
-        met = scratch.save(met.distinct(), "widened")  # repeated rows have asked as often
-        scratch.drop(going, mine, theirs)
+        moved = {"here": F.col("here") + step, "there": F.col("there") + step, "most": F.col("most") - F.col("got"), "n": F.col("n") + F.col("got")}
+        met = met.select(*[moved.get(c, F.col(c)).alias(c) for c in columns], ((F.col("got") == reach) & (F.col("most") > reach)).alias("on"))
+        met = scratch.save(met.distinct(), "widened")
+        scratch.drop(going, near)
         done.append(met.filter("NOT on").drop("on"))
-        going = met.filter("on").drop("on")
-        few = going.limit(FEW_RIMS + 1).count() <= FEW_RIMS
+        going, first = met.filter("on").drop("on"), False
         reach *= 4
     out = done[0] if done else going
     for df in done[1:]:
