@@ -6,7 +6,7 @@ all training documents are joined by hash; each hit names a (document, item, dia
 around it is extended both ways with a mismatch penalty. Every hit that no extension covers yet is extended,
 and the longest part of an extension that is long and alike enough is kept.
 
-Documents pass through a Bloom filter of the benchmark's seed hashes first (sized by their number, 16 MB at most),
+Documents pass through a Bloom filter of the benchmark's seed hashes first (sized by their number, 32 MB at most),
 so only documents with a possible hit leave the scan, as token hashes. The join then removes the filter's
 false positives. A document's tokens are read once more, to cut out what lies along each diagonal, so that a
 candidate carries an item's length of tokens at most. All joins are on saved tables, so AQE splits hot seeds and items.
@@ -35,9 +35,10 @@ MASKS = (
 #: Items of fewer tokens have no seed; a hash of the whole item and its length stands in for one.
 SHORTEST = min(mask[-1] for mask in MASKS) + 1
 TOKENS = re.compile(r"[^\W_]+")
-#: The filter has some BITS_A_SEED bits a seed, between these bounds (128 KB to 16 MB), and a seed sets PROBES of them. Beyond
-#: the upper bound more documents pass it, for the join to sort out.
-BITS_A_SEED, LEAST_BITS, MOST_BITS, PROBES = 24, 1 << 20, 1 << 27, 4
+#: The filter has BITS_A_SEED bits a seed or more, between these bounds (128 KB to 32 MB), and a seed sets PROBES of them, so
+#: one foreign seed in some two million passes: a document has thousands. Beyond the upper bound more documents pass, for the
+#: join to sort out.
+BITS_A_SEED, LEAST_BITS, MOST_BITS, PROBES = 64, 1 << 20, 1 << 28, 6
 #: An overlap must have this many equal tokens (fewer only for items that are shorter) and this share of equal ones.
 MIN_MATCHES, MIN_SHARE = 10, 0.75
 MISMATCH, DROP = 2, 8
@@ -166,7 +167,7 @@ def filter_bits(n_seeds: int) -> int:
 
 
 def _bloom(seeds: DataFrame) -> np.ndarray:
-    """A filter with PROBES bits set for each benchmark seed; a small row of every 8 bytes comes back, 2**21 at most."""
+    """A filter with PROBES bits set for each benchmark seed; a small row of every 8 bytes comes back, 2**22 at most."""
     size = filter_bits(seeds.count())
     low, step = F.col("seed").bitwiseAND(F.lit(size - 1)), F.shiftrightunsigned("seed", 36)
     at = F.explode(F.array(*[(low + F.lit(k) * step).bitwiseAND(F.lit(size - 1)) for k in range(PROBES)]))

@@ -135,11 +135,11 @@ def test_overlaps_against_all_diagonals(spark, sf):
 
 
 def test_the_filter_grows_with_the_benchmark_and_loses_no_seed(spark):
-    assert d.filter_bits(0) == d.filter_bits(1000) == d.LEAST_BITS and d.filter_bits(10**6) == 1 << 25 and d.filter_bits(10**12) == d.MOST_BITS
+    assert d.filter_bits(0) == d.filter_bits(1000) == d.LEAST_BITS and d.filter_bits(10**6) == 1 << 26 and d.filter_bits(10**12) == d.MOST_BITS
     seeds = np.random.default_rng(3).integers(-(2**63), 2**63, 3000)
     bits = d._bloom(spark.createDataFrame([(int(x),) for x in seeds], "seed bigint"))
     assert len(d._may_hold(bits, seeds)) == 3000
-    assert len(d._may_hold(bits, np.random.default_rng(4).integers(-(2**63), 2**63, 20_000))) < 20
+    assert len(d._may_hold(bits, np.random.default_rng(4).integers(-(2**63), 2**63, 200_000))) < 3
 
 
 def test_a_hit_between_the_outer_ones_is_verified(spark):
